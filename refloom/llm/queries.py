@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from refloom.llm import distinctive_terms, name_variants, reference_linkage, set_join
+from refloom.llm import distinctive_terms, name_variants, reference_linkage, set_join, survivorship
 
-_MODULES = [distinctive_terms, set_join, name_variants, reference_linkage]
+_MODULES = [distinctive_terms, set_join, name_variants, reference_linkage, survivorship]
 
 
 def queries() -> dict:
