@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from refloom.llm import distinctive_terms, mixing, name_variants, packing, page_content, reference_linkage, set_join, survivorship
+from refloom.llm import distinctive_terms, mixing, name_variants, packing, page_content, reference_linkage, residue, set_join, survivorship
 
-_MODULES = [distinctive_terms, set_join, name_variants, reference_linkage, survivorship, page_content, packing, mixing]
+_MODULES = [distinctive_terms, set_join, name_variants, reference_linkage, survivorship, page_content, packing, mixing, residue]
 
 
 def queries() -> dict:
