@@ -87,7 +87,10 @@ def parsed_reference(raw: Column) -> Column:
     pages = F.nullif(F.regexp_replace(F.regexp_extract(clean, r"\b(\d{1,5}\s*[-–]\s*\d{1,5})\b", 1), r"\s*[-–]\s*", "-"), F.lit(""))
     quoted = F.nullif(F.regexp_extract(clean, r"[\"“«]([^\"”»]{8,300})[\"”»]", 1), F.lit(""))
     parts = F.filter(F.split(clean, r"(?<!\b\p{Lu})\.\s+|:\s+"), lambda p: (F.length(F.trim(p)) >= 8) & ~p.rlike(r"^\s*\d{4}\s*$") & (F.size(F.split(F.trim(p), r"\s+")) >= 3))
-    title = F.coalesce(F.regexp_replace(quoted, r"[,.\s]+$", ""), F.nullif(F.trim(F.get(parts, F.lit(0))), F.lit("")))
+    # a part of nothing but capitalised words, initials and particles reads as names, unless there is no other
+    names = r"^\s*(?:(?:\p{Lu}[\p{L}'’-]*\.?|and|y|et|und|&|van|von|der|de|la|ten|al|al\.)[,;]?\s*)+$"
+    other = F.get(F.filter(parts, lambda p: ~p.rlike(names)), F.lit(0))
+    title = F.coalesce(F.regexp_replace(quoted, r"[,.\s]+$", ""), F.nullif(F.trim(F.coalesce(other, F.get(parts, F.lit(0)))), F.lit("")))
     return F.struct(d.alias("doi"), url.alias("url"), year.alias("year"), volume.alias("volume"), issue.alias("issue"), pages.alias("pages"), title.alias("title"))
 
 

@@ -1,0 +1,31 @@
+from pyspark.sql import functions as F
+
+from refloom.operators.components import components
+from refloom.plans.materialize import cut, drop, shared_dir
+from refloom.plans.skew import heavy_keys, lookup
+
+
+def test_lookup_equals_a_join_with_hot_and_null_keys(spark):
+    rows = spark.createDataFrame([("hot", i) for i in range(500)] + [("cold", 1), (None, 2), ("lost", 3)], "k string, i int")
+    table = spark.createDataFrame([("hot", 10, "x"), ("cold", 20, None)], "k string, v int, w string")
+    counts = rows.groupBy("k").agg(F.count("*").alias("n"))
+    heavy = heavy_keys(counts, "k", "n", 503, 10)
+    assert [r["k"] for r in heavy.collect()] == ["hot"]
+    out = lookup(rows, table, "k", heavy)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, rows.join(table, "k").select("k", "i", "v", "w").collect()))
+    assert lookup(rows, table, "k", heavy, "left").count() == 503
+
+
+def test_cut_and_drop(spark):
+    df = cut(spark.range(5))
+    assert df.count() == 5 and shared_dir(spark)
+    drop(df)
+    drop(spark.range(1))
+
+
+def test_components(spark):
+    e = spark.createDataFrame([(f"a{i}", f"a{i + 1}") for i in range(30)] + [("z", "y"), ("y", "z"), ("q", "q"), (None, "p")] + [("hub", f"l{i}") for i in range(50)], "x string, y string")
+    got = {r["node"]: r["component"] for r in components(e, "x", "y").collect()}
+    assert {got[f"a{i}"] for i in range(31)} == {"a0"} and got["z"] == got["y"] == "y" and {got[f"l{i}"] for i in range(50)} == {"hub"}
+    assert "q" not in got and "p" not in got
+    assert components(e.limit(0), "x", "y").count() == 0
