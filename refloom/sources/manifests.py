@@ -131,7 +131,7 @@ def catalogue_works(rows: DataFrame) -> DataFrame:
     asset = F.struct(F.concat_ws("-", "alias", word(F.col("role"), "landing"), "n").alias("id"), word(F.col("role"), "landing").alias("role"), F.col("target").alias("url"), word(F.col("intent"), "metadata_only").alias("intent"), media_type(F.col("target")).alias("expected_media_type"))
     first = lambda c: F.min_by(c, "pos")
     year = F.when(F.col("year").rlike(r"^\s*\d{4}\s*$"), F.trim("year").cast("int")) if "year" in rows.columns else F.lit(None).cast("int")
-    authors = F.filter(F.transform(F.split(F.col("authors"), ";"), F.trim), lambda a: a != "") if "authors" in rows.columns else F.array().cast("array<string>")
+    authors = F.filter(F.transform(F.split(F.col("authors"), ";"), lambda a: F.trim(a)), lambda a: a != "") if "authors" in rows.columns else F.array().cast("array<string>")
     return r.groupBy("alias").agg(
         first(plain_cell(F.col("title"))).alias("title"), first(word(F.col("type"), "article")).alias("work_type"), first(word(F.col("access"), "unknown")).alias("access"), first(year).alias("year"), first(authors).alias("authors"),
         F.transform(F.array_sort(F.collect_list(F.when(F.col("target").isNotNull(), F.struct("pos", asset.alias("a"))))), lambda x: x["a"]).alias("assets"),
