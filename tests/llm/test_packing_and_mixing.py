@@ -1,0 +1,98 @@
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from refloom.llm import mixing as M
+from refloom.llm import packing as P
+from refloom.llm.tokens import token_counts
+
+
+def check(items, caps, rows):
+    per = defaultdict(lambda: defaultdict(int))
+    pieces = defaultdict(dict)
+    for r in rows:
+        per[r["pack_id"]][r["bin_id"]] += r["tokens"]
+        assert r["piece"] not in pieces[r["pack_id"], r["doc_id"]]
+        pieces[r["pack_id"], r["doc_id"]][r["piece"]] = r["tokens"]
+    for k, cap in caps.items():
+        assert all(used <= cap for used in per[k].values())
+        for doc, n in items.items():
+            got = pieces[k, doc]
+            assert sum(got.values()) == n and sorted(got) == list(range(len(got)))
+            assert len(got) == max(1, -(-n // cap))  # never split unless larger than the capacity
+    return {k: sum(items.values()) / (len(per[k]) * cap) for k, cap in caps.items()}
+
+
+@pytest.mark.parametrize("group", [50, 10_000])
+def test_packing_is_whole_and_tight(spark, group):
+    rng = random.Random(3)
+    items = {i: rng.choice([0, 1, 7, 100, 511, 512, 513, 3000, rng.randrange(1, 400)]) for i in range(1500)}
+    caps = {1: 512, 2: 1024}
+    df = spark.createDataFrame(list(items.items()), "doc_id long, tokens long").withColumn("bin", F.lit(1)).withColumn("name", F.lit(1))
+    rows = P.pack(df, caps, group).collect()
+    fill = check(items, caps, rows)
+    assert all(f > 0.93 for f in fill.values())
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, P.pack(df, caps, group).collect()))
+
+
+def test_packer_is_best_fit():
+    p = P.Packer(10, most=2)
+    assert [p.put(6), p.put(7)] == [0, 1] and p.put(3) == 1 and p.put(4) == 0  # the least space that still holds it
+    assert [p.put(8), p.put(7), p.put(9)] == [2, 3, 4]
+    assert p.still_open() == {3: 7, 4: 9}  # the fullest closed first
+
+
+def test_packing_edges(spark):
+    assert P.pack(spark.createDataFrame([], "doc_id long, tokens long"), {1: 5}).count() == 0
+    one = P.pack(spark.createDataFrame([(1, 12), (2, None), (None, 3)], "doc_id long, tokens long"), {1: 5}).collect()
+    assert sorted((r["piece"], r["tokens"]) for r in one) == [(0, 5), (1, 5), (2, 2)]
+
+
+def test_tokens(spark):
+    texts = [(1, "Hello world, it's fine.", "a"), (2, "", "b"), (3, None, "c"), (1, "Hello world, it's fine.", "a"), (None, "x", "d"), (4, "word " * 20000, None), (5, "<|endoftext|>", "e")]
+    got = {r["doc_id"]: (r["tokens"], r["source"]) for r in token_counts(spark.createDataFrame(texts, "doc_id long, text string, source string"), "doc_id", "text", "source").collect()}
+    assert got[1] == (7, "a") and got[2] == (0, "b") and got[4][0] > 19000 and got[5][0] > 1 and set(got) == {1, 2, 4, 5}
+
+
+def mixed(spark, rows, targets, **kw):
+    sizes = spark.createDataFrame(rows, "doc_id long, source string, tokens long").withColumn("p", F.lit(1)).withColumn("grp", F.lit(1))
+    copies, plan = M.mix(sizes, spark.createDataFrame(targets, "source string, target_share double, max_repeats int"), **kw)
+    return copies.collect(), {r["source"]: r for r in plan.collect()}
+
+
+@pytest.mark.parametrize("group", [40, 50_000])
+def test_mix_reaches_shares(spark, group):
+    rng = random.Random(1)
+    rows = [(i, rng.choice(["big", "big", "big", "mid", "small"]), rng.randrange(1, 300)) for i in range(3000)] + [(5000, None, 9), (5001, "other", 9)]
+    copies, plan = mixed(spark, rows, [("big", 0.5, 1), ("mid", 0.3, 2), ("small", 0.2, 3), ("gone", 0.1, 5), (None, 0.5, 1)], group=group)
+    got = defaultdict(int)
+    for r in copies:
+        got[r["source"]] += r["tokens"] * r["copies"]
+        assert r["copies"] <= plan[r["source"]]["max_repeats"]
+    total = sum(got.values())
+    assert set(got) == {"big", "mid", "small"} and abs(got["big"] / total - 0.5 / 1.0) < 0.004 and abs(got["small"] / total - 0.2) < 0.004
+    # the copies of a source differ by at most one, and one source is used up
+    per = defaultdict(set)
+    for r in copies:
+        per[r["source"]].add(r["copies"])
+    assert all(max(c) - min(c) <= 1 for c in per.values()) and any(abs(p["repeats"] - p["max_repeats"]) < 1e-9 for p in plan.values())
+
+
+def test_rounding_keeps_probabilities():
+    rng = random.Random(2)
+    n, runs, p, q = [0, 0], 20000, 0.3, 0.6
+    for _ in range(runs):
+        a, b = M.transfer(p, 100.0, q, 40.0, rng.random())
+        assert abs(a * 100 + b * 40 - (p * 100 + q * 40)) < 1e-9 and (a in (0.0, 1.0) or b in (0.0, 1.0))
+        n[0] += a
+        n[1] += b
+    assert abs(n[0] / runs - p) < 0.01 and abs(n[1] / runs - q) < 0.02
+
+
+def test_mix_edges(spark):
+    copies, plan = mixed(spark, [], [("a", 0.5, 1)])
+    assert copies == [] and plan["a"]["wanted"] == 0
+    copies, _ = mixed(spark, [(1, "a", 0), (2, "a", 10)], [("a", 1.0, 2)])
+    assert {r["doc_id"]: r["copies"] for r in copies} == {1: 2, 2: 2}
