@@ -57,3 +57,19 @@ def resolve(refs: DataFrame, works: DataFrame) -> DataFrame:
     basis = F.concat_ws("|", "who", F.coalesce("title", F.lit("")), F.coalesce(F.col("year").cast("string"), F.lit("None")))
     target = F.when(status == "resolved", F.col("b.work")).when(status == "discovered", discovered_id(F.col("d"), F.col("i"), basis))
     return out.select("ref_id", status.alias("status"), target.alias("target_id"), F.when(status == "resolved", F.col("b.kind")).alias("method"), F.when(F.col("b").isNotNull(), F.col("b.score")).alias("score"))
+
+
+def enriched(resolved: DataFrame, refs: DataFrame, known: DataFrame) -> DataFrame:
+    """resolved with `enrichment`: the id a static table (doi, id) gives for the DOI of references without a decisive match.
+
+    References that are decided are filtered out before the join, so only the open ones travel.
+    """
+    open_ = resolved.where(F.coalesce("score", F.lit(0.0)) < ACCEPT).select("ref_id")
+    keys = refs.select("ref_id", doi(F.col("doi")).alias("d")).where("d is not null").dropDuplicates(["ref_id"]).join(open_, "ref_id", "left_semi")
+    table = known.select(doi(F.col("doi")).alias("d"), "id").where("d is not null").groupBy("d").agg(F.min("id").alias("enrichment"))
+    return resolved.join(keys.join(table, "d").select("ref_id", "enrichment"), "ref_id", "left")
+
+
+def summary(resolved: DataFrame) -> DataFrame:
+    """(status, method, refs): how many references came out how."""
+    return resolved.groupBy("status", F.coalesce("method", F.lit("-")).alias("method")).agg(F.count("*").alias("refs"))

@@ -35,3 +35,17 @@ def tfidf(docs: DataFrame, doc: str, text: str, n: int = 12, stop: list[str] | N
     score = (0.5 + 0.5 * F.col("c") / F.col("most")) * F.ln(F.lit(1.0 + total) / (1 + F.col("df"))) + F.lit(1e-9)
     place = F.row_number().over(W.partitionBy("doc").orderBy(F.desc("score"), "term"))
     return joined.withColumn("score", score).withColumn("place", place).where(F.col("place") <= n).select("doc", "place", "term", F.round("score", 6).alias("score"))
+
+
+def cluster_terms(members: DataFrame, titles: DataFrame, n: int = 12, stop: list[str] | None = None) -> DataFrame:
+    """(component, place, term, score): each cluster's best terms, its members' titles being its document.
+
+    Titles are counted per cluster after one exchange; a cluster's text is never put together in one row.
+    """
+    t = members.join(titles, "node").select("component", F.explode(tokens(F.col("title"), stop)).alias("term"))
+    rows = cut(t.groupBy("component", "term").agg(F.count("*").alias("c")).withColumn("most", F.max("c").over(W.partitionBy("component"))))
+    total = members.select("component").distinct().count()
+    df = rows.groupBy("term").agg(F.count("*").alias("df"))
+    score = (0.5 + 0.5 * F.col("c") / F.col("most")) * F.ln(F.lit(1.0 + total) / (1 + F.col("df"))) + F.lit(1e-9)
+    place = F.row_number().over(W.partitionBy("component").orderBy(F.desc("score"), "term"))
+    return rows.join(df, "term").withColumn("score", score).withColumn("place", place).where(F.col("place") <= n).select("component", "place", "term", F.round("score", 6).alias("score"))

@@ -11,8 +11,10 @@ from pyspark.sql import Window as W
 from refloom.functions import bibliographic as B
 from refloom.operators import edges as E
 from refloom.operators import extract as X
+from refloom.operators import fields as FD
 from refloom.operators import graph as G
 from refloom.operators import rank as R
+from refloom.operators import reading as RD
 from refloom.operators import resolve as RS
 from refloom.operators import rights as RT
 from refloom.operators import terms as T
@@ -675,6 +677,84 @@ def hourly_events(spark: SparkSession, d: str) -> DataFrame:
     return w.select(F.col("w.start").alias("hour"), "event_type", "events", "total")
 
 
+@query(
+    """WITH w AS (SELECT DISTINCT work_id, work_type, access_state, title_status FROM corpus), d AS (SELECT DISTINCT from_node, to_node, lower(trim(edge_type)) AS k FROM dependencies WHERE from_node IS NOT NULL AND to_node IS NOT NULL)
+    SELECT 'works' AS what, 'all' AS kind, CAST(count(DISTINCT work_id) AS BIGINT) AS n FROM w UNION ALL SELECT 'access', coalesce(access_state, '-'), CAST(count(DISTINCT work_id) AS BIGINT) FROM w GROUP BY 2
+    UNION ALL SELECT 'edges', coalesce(k, '-'), CAST(count(*) AS BIGINT) FROM d GROUP BY 2"""
+)
+def corpus_summary(spark: SparkSession, d: str) -> DataFrame:
+    """Counts of works, access states and kinds of links."""
+    w = table(spark, d, "corpus", "work_id", "access_state").distinct()
+    e = table(spark, d, "dependencies", "from_node", "to_node", F.lower(F.trim("edge_type")).alias("k")).where("from_node is not null and to_node is not null").distinct()
+    n = lambda df, what, kind, count: df.groupBy(F.coalesce(kind, F.lit("-")).alias("kind")).agg(count.alias("n")).select(F.lit(what).alias("what"), "kind", "n")
+    works = F.countDistinct("work_id")
+    return n(w, "works", F.lit("all"), works).unionByName(n(w, "access", F.col("access_state"), works)).unionByName(n(e, "edges", F.col("k"), F.count("*")))
+
+
+@query()
+def resolution_summary(spark: SparkSession, d: str) -> DataFrame:
+    return RS.summary(resolve_targets(spark, d))
+
+
+@query(
+    f"""WITH RECURSIVE {_COUPLING}, {_WORKS}, v AS (SELECT a AS x, b AS y FROM c WHERE cosine >= 0.2 UNION SELECT b, a FROM c WHERE cosine >= 0.2),
+    nodes AS (SELECT a AS node FROM c UNION SELECT b FROM c), r AS (SELECT node, node AS reached FROM nodes UNION SELECT r.node, v.y FROM r JOIN v ON v.x = r.reached),
+    m AS (SELECT node, min(reached) AS component FROM r GROUP BY node)
+    SELECT component, CAST(count(*) AS BIGINT) AS members, CAST(min(year) AS INTEGER) AS earliest, CAST(max(year) AS INTEGER) AS latest FROM m LEFT JOIN works w ON w.work_id = m.node GROUP BY component"""
+)
+def cluster_summary(spark: SparkSession, d: str) -> DataFrame:
+    """The clusters of coupled works: size and years."""
+    y = _works(spark, d, "year").toDF("node", "year")
+    return coupling_components(spark, d).join(y, "node", "left").groupBy("component").agg(F.count("*").alias("members"), F.min("year").alias("earliest"), F.max("year").alias("latest"))
+
+
+@query()
+def cluster_terms(spark: SparkSession, d: str) -> DataFrame:
+    return T.cluster_terms(coupling_components(spark, d), _works(spark, d, "title").toDF("node", "title"))
+
+
+@query(
+    """WITH h AS (SELECT page_id, arg_min(text, block_no) AS heading FROM page_blocks WHERE kind = 'heading' GROUP BY page_id)
+    SELECT p.page_id, coalesce(p.meta['citation_title'][1], h.heading, substr(split_part(p.text, chr(10), 1), 1, 200)) AS title,
+    CASE WHEN p.meta['citation_title'][1] IS NOT NULL THEN 'metadata' WHEN h.heading IS NOT NULL THEN 'heading' ELSE 'first-line' END AS method FROM parsed_html p LEFT JOIN h USING (page_id)"""
+)
+def page_titles(spark: SparkSession, d: str) -> DataFrame:
+    t = FD.titles(table(spark, d, "parsed_html", "page_id", "text", "meta"), table(spark, d, "page_blocks", "page_id", "block_no", "kind", "text"))
+    return t.select("page_id", "title", "method")
+
+
+@query()
+def page_roles(spark: SparkSession, d: str) -> DataFrame:
+    """Where the abstract, introduction, conclusion and references of each page are."""
+    return FD.roles(table(spark, d, "page_blocks", "page_id", "block_no", "kind", "text", "container", "start_char", "end_char"))
+
+
+@query(
+    f"""WITH {_LAYERS}, s AS (SELECT node, layer FROM layers WHERE node NOT LIKE 'S-%')
+    SELECT node, CAST(layer AS INTEGER) AS layer, lag(node) OVER (ORDER BY layer, node) AS previous, lead(node) OVER (ORDER BY layer, node) AS following FROM s"""
+)
+def reading_sequence(spark: SparkSession, d: str) -> DataFrame:
+    """The reading order without the sequence nodes, each node with its neighbours."""
+    layers = cut(dag_layers(spark, d))
+    return RD.sequence(layers, layers.where("node like 'S-%'").select("node"))
+
+
+@query(f"WITH {_LAYERS} SELECT node, CAST(28 + 210 * (row_number() OVER (PARTITION BY layer ORDER BY node) - 1) AS INTEGER) AS x, CAST(28 + 78 * layer AS INTEGER) AS y FROM layers")
+def dag_layout(spark: SparkSession, d: str) -> DataFrame:
+    return RD.layout(dag_layers(spark, d)).select("node", "x", "y")
+
+
+@query(
+    f"""WITH e AS (SELECT *, lead(ts) OVER w AS nxt, lag(ts) OVER w AS prv FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+    s AS (SELECT *, sum(CASE WHEN prv IS NULL OR ts - prv >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM e)
+    SELECT user_id, min(ts) AS start, CAST(count(*) AS BIGINT) AS events FROM s GROUP BY user_id, k"""
+)
+def user_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """Sessions of users with gaps under 30 minutes; the streaming form is in `refloom.streaming`."""
+    s = table(spark, d, "events", "user_id", "ts").groupBy(F.session_window("ts", "30 minutes").alias("w"), "user_id").agg(F.count("*").alias("events"))
+    return s.select("user_id", F.col("w.start").alias("start"), "events")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
