@@ -34,6 +34,6 @@ def roles(blocks: DataFrame) -> DataFrame:
     walked = b.withColumn("section", section)
     heads = walked.where("kind = 'heading'").select("page_id", "section", role(F.col("text")).alias("role")).where("role is not null")
     body = walked.where("kind <> 'heading'").join(heads, ["page_id", "section"]).groupBy("page_id", "section", "role").agg(F.array_sort(F.collect_list(F.struct("block_no", "text", "start_char", "end_char"))).alias("bs"))
-    by_head = body.groupBy("page_id", "role").agg(F.min_by("bs", "section").alias("bs")).select("page_id", "role", F.array_join(F.transform("bs", lambda x: x["text"]), "\n").alias("text"), F.array_min(F.transform("bs", lambda x: x["start_char"])).alias("start_char"), F.array_max(F.transform("bs", lambda x: x["end_char"])).alias("end_char"), F.lit("heading").alias("method"), F.lit(0.85).alias("confidence"))
+    by_head = body.groupBy("page_id", "role").agg(F.min_by("bs", "section").alias("bs")).select("page_id", "role", F.array_join(F.transform("bs", lambda x: x["text"]), "\n").alias("text"), F.array_min(F.transform("bs", lambda x: x["start_char"])).alias("start_char"), F.array_max(F.transform("bs", lambda x: x["end_char"])).alias("end_char"), F.lit("heading").alias("method"), F.lit(0.95).alias("confidence"))
     rest = by_head.join(by_box.select("page_id", "role"), ["page_id", "role"], "left_anti")
     return by_box.unionByName(rest)

@@ -610,8 +610,8 @@ def expectation_matrix(spark: SparkSession, d: str) -> DataFrame:
 @query(
     f"""WITH w AS (SELECT DISTINCT ON (work_id) work_id, access_state, license FROM corpus WHERE work_id IS NOT NULL ORDER BY work_id),
     d AS (SELECT doc_id, section, text, w.access_state = 'open' AS open, w.license FROM documents d JOIN w USING (work_id))
-    SELECT doc_id, CASE WHEN section = 'references' THEN true WHEN section IN ('abstract', 'introduction', 'conclusion', 'fulltext') THEN coalesce(open, false) AND license IS NOT NULL ELSE false END AS allowed,
-    CASE WHEN section = 'references' THEN 'metadata' WHEN section NOT IN ('abstract', 'introduction', 'conclusion', 'fulltext') THEN 'unknown field' WHEN NOT coalesce(open, false) THEN 'text withheld' WHEN license IS NULL THEN 'no licence evidence' ELSE 'licensed' END AS reason FROM d"""
+    SELECT doc_id, CASE WHEN section = 'references' THEN true WHEN section IN ('abstract', 'introduction', 'conclusion') THEN coalesce(open, false) AND license IS NOT NULL ELSE false END AS allowed,
+    CASE WHEN section = 'references' THEN 'metadata' WHEN section NOT IN ('abstract', 'introduction', 'conclusion') THEN 'unknown field' WHEN NOT coalesce(open, false) THEN 'text withheld' WHEN license IS NULL THEN 'no licence evidence' ELSE 'licensed' END AS reason FROM d"""
 )
 def clearance_mask(spark: SparkSession, d: str) -> DataFrame:
     """Which texts may be published; works are open or not, their licence is the evidence."""
@@ -623,7 +623,7 @@ def clearance_mask(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """SELECT doc_id, CASE WHEN regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}') THEN 'email' WHEN regexp_matches(text, '(?i)\\b(api[_-]?key|secret|token|password)\\b\\s*[:=]\\s*\\S{6,}') THEN 'key-value'
+    """SELECT doc_id, CASE WHEN regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}') THEN 'email' WHEN regexp_matches(text, '(?i)\\b(api[_-]?key|secret|token|password)\\b\\s*[:=]\\s*\\S+') THEN 'key-value'
     WHEN regexp_matches(text, '\\bsk-[A-Za-z0-9]{16,}') THEN 'token' WHEN regexp_matches(text, '(?:/home/|/Users/)[A-Za-z0-9._-]+/') THEN 'path' ELSE 'none' END AS leak FROM documents WHERE text IS NOT NULL"""
 )
 def leak_scan(spark: SparkSession, d: str) -> DataFrame:

@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+_written: dict[str, set[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -39,15 +40,26 @@ def cut(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back._refloom_path = path  # type: ignore[attr-defined]
+    _written.setdefault(df.sparkSession.sparkContext.applicationId, set()).add(path)
     return back
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    _written.get(spark.sparkContext.applicationId, set()).discard(path)
+
+
 def drop(df: DataFrame | None) -> None:
     """Delete the table behind a DataFrame that `cut` returned; nothing may read it afterwards."""
     path = getattr(df, "_refloom_path", None)
-    if path is None:
-        return
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    if path is not None:
+        _delete(df.sparkSession, path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete every table this session has cut and not dropped, once their results are written; how many there were."""
+    paths = list(_written.get(spark.sparkContext.applicationId, ()))
+    for path in paths:
+        _delete(spark, path)
+    return len(paths)

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from refloom.operators.components import components
-from refloom.plans.materialize import cut, drop, shared_dir
+from refloom.plans.materialize import cut, drop, release, shared_dir
 from refloom.plans.skew import heavy_keys, lookup
 
 
@@ -21,6 +21,8 @@ def test_cut_and_drop(spark):
     assert df.count() == 5 and shared_dir(spark)
     drop(df)
     drop(spark.range(1))
+    kept = cut(spark.range(3))
+    assert kept.count() == 3 and release(spark) >= 2 and release(spark) == 0
 
 
 def test_components(spark):
