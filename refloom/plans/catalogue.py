@@ -385,14 +385,39 @@ def sensitivity_grid(spark: SparkSession, d: str) -> DataFrame:
     return R.sensitivity(_dims(spark, d), _W3)
 
 
+def _all_dims(spark: SparkSession, d: str, without: str | None = None) -> DataFrame:
+    """_dims with PageRank, which is computed anew on the edges that remain."""
+    e = _edges(spark, d).where("source is not null and target is not null")
+    if without is not None:
+        e = e.where((F.col("source") != without) & (F.col("target") != without))
+    return cut(_dims(spark, d, without).join(G.pagerank(e, "source", "target"), "node", "left").na.fill(0.0, ["rank"]))
+
+
+@query()
+def reading_priority(spark: SparkSession, d: str) -> DataFrame:
+    """Every work's four dimensions, PageRank among them, and its weighted score."""
+    return R.scored(_all_dims(spark, d)).select("node", "indegree", "rank", "centrality", "groups", "score")
+
+
+@query()
+def reading_priority_top10(spark: SparkSession, d: str) -> DataFrame:
+    return R.top(R.scored(_all_dims(spark, d)).select("node", "score"), 10)
+
+
+@query()
+def reading_priority_grid(spark: SparkSession, d: str) -> DataFrame:
+    """How the ten best by all four dimensions change when one weight moves."""
+    return R.sensitivity(_all_dims(spark, d))
+
+
 @query()
 def leave_one_out(spark: SparkSession, d: str) -> DataFrame:
-    """The ten best without the best work, beside the places they had."""
-    before = cut(R.top(R.scored(_dims(spark, d), _W3).select("node", "score"), 11))
+    """The ten best without the best work, beside the places they had, by all four dimensions."""
+    before = cut(R.top(R.scored(_all_dims(spark, d)).select("node", "score"), 11))
     best = before.where("place = 1").first()
     if best is None:
         return before.select("node", "place", F.lit(None).cast("int").alias("was"))
-    after = R.top(R.scored(_dims(spark, d, best["node"]), _W3).select("node", "score"), 10)
+    after = R.top(R.scored(_all_dims(spark, d, best["node"])).select("node", "score"), 10)
     return after.join(before.select("node", F.col("place").alias("was")), "node", "left").select("node", "place", "was")
 
 
