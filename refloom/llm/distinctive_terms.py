@@ -20,8 +20,11 @@ from refloom.plans.skew import heavy_keys, lookup
 from refloom.sources.tables import table
 
 
-def term_scores(records: DataFrame, record_id: str, text: str, c: float = 1.0, least: int = 3) -> DataFrame:
-    """(record_id, term, tf, length, df, cf, score): one row for each different word of each record.
+def term_scores(records: DataFrame, record_id: str, text: str, c: float = 1.0, least: int = 3, presence: bool = False) -> DataFrame:
+    """(record_id, term, tf, length, df, cf, tfn, score): one row for each different word of each record.
+
+    With `presence` a word counts once in a record, however often it stands there: the rate of the geometric model is
+    then the word's records over all records, and tf is 1. That suits titles, where repetition says little.
 
     Words are runs of a-z and 0-9 of at least `least` characters of the folded text. A record whose text is null or
     holds no such word gives no row, nor does a null id; it does not count as a record of the collection. Of repeated
@@ -41,20 +44,26 @@ def term_scores(records: DataFrame, record_id: str, text: str, c: float = 1.0, l
     n, mean = total["n"], (total["words"] or 0) / max(total["n"], 1)
     stats = cut(rows.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf")))
     joined = lookup(rows, stats, "term", heavy_keys(stats, "term", "df", total["rows"]))
-    rate = F.col("cf") / F.lit(float(max(n, 1)))
-    tfn = F.col("tf") * F.log2(1 + F.lit(c * mean) / F.col("length"))
+    rate = F.col("df" if presence else "cf") / F.lit(float(max(n, 1)))
+    tfn = (F.lit(1) if presence else F.col("tf")) * F.log2(1 + F.lit(c * mean) / F.col("length"))
     score = (F.log2(1 + rate) + tfn * F.log2((1 + rate) / rate)) / (tfn + 1)
-    return joined.select("record_id", "term", "tf", "length", "df", "cf", score.alias("score"))
+    return joined.select("record_id", "term", "tf", "length", "df", "cf", tfn.alias("tfn"), score.alias("score"))
 
 
-def rarest_shared(scores: DataFrame, most: int = 6) -> DataFrame:
-    """Of each record's scored terms that other records share, those of the fewest records, if at most `most`; all in a tie.
+def most_distinctive(scores: DataFrame, most: int = 6) -> DataFrame:
+    """Of each record's scored terms that other records share, those with the highest score, if it is that of at most `most` records.
 
-    The score falls as a term's occurrences rise, so the terms of highest score are tried first in principle; the
-    exact check on the number of records decides because a score also weighs repetition inside a record.
+    `scores` come from `term_scores` with `presence`. All terms of a record have its length, so terms of equally many
+    records tie exactly, and all of a tie are kept. A term that is no rarer in the collection than in the record carries no
+    information; below that the score falls as the number of records rises. The bar is the score of a term in `most` records.
     """
-    shared = scores.where(F.col("df").between(2, most) & (F.col("score") > 0))
-    return shared.withColumn("fewest", F.min("df").over(W.partitionBy("record_id"))).where("df = fewest").select("record_id", "term", "df", "score")
+    n = scores.select("record_id").distinct().count()
+    tfn = F.col("tfn")
+    rare = scores.where((F.col("df") >= 2) & (F.col("df") / F.lit(float(max(n, 1))) < tfn))
+    best = rare.withColumn("best", F.max("score").over(W.partitionBy("record_id"))).where(F.col("score") == F.col("best"))
+    rate = F.least(F.lit(most / max(n, 1)), tfn)
+    bar = (F.log2(1 + rate) + tfn * F.log2((1 + rate) / rate)) / (tfn + 1)
+    return best.where(F.col("score") >= bar - F.lit(1e-12)).select("record_id", "term", "df", "score")
 
 
 def titles(spark: SparkSession, d: str) -> DataFrame:
@@ -64,7 +73,8 @@ def titles(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return rarest_shared(term_scores(titles(spark, d), "record_id", "title")).select("record_id", "term")
+    """The shared terms of the highest score in each title. With every word counted once a title, they are those of the fewest titles."""
+    return most_distinctive(cut(term_scores(titles(spark, d), "record_id", "title", presence=True))).select("record_id", "term")
 
 
 def p1_scores(spark: SparkSession, d: str) -> DataFrame:

@@ -49,12 +49,38 @@ def test_rare_words_score_above_common_ones(spark):
     assert s["0", "extra0"] > s["0", "word0"] > s["0", "common"]
 
 
-def test_rarest_shared_keeps_ties(spark):
+def best(spark, rows):
+    scores = D.term_scores(spark.createDataFrame(rows, "id string, t string"), "id", "t", presence=True)
+    return {(r["record_id"], r["term"]) for r in D.most_distinctive(scores).collect()}
+
+
+def fewest(rows, most=6):
+    sets = {i: set(t.split()) for i, t in rows}
+    df = Counter(t for s in sets.values() for t in s)
+    out = set()
+    for i, s in sets.items():
+        low = min((df[t] for t in s if df[t] >= 2), default=99)
+        out |= {(i, t) for t in s if df[t] == low and low <= most}
+    return out
+
+
+def test_most_distinctive_keeps_ties(spark):
     rows = [("1", "alpha beta gamma"), ("2", "alpha beta"), ("3", "gamma delta"), ("4", "delta unique")]
-    got = {(r["record_id"], r["term"]) for r in D.rarest_shared(D.term_scores(spark.createDataFrame(rows, "id string, t string"), "id", "t")).collect()}
-    assert got == {("1", "alpha"), ("1", "beta"), ("1", "gamma"), ("2", "alpha"), ("2", "beta"), ("3", "gamma"), ("3", "delta"), ("4", "delta")}
-    many = [(str(i), "shared") for i in range(7)]
-    assert D.rarest_shared(D.term_scores(spark.createDataFrame(many, "id string, t string"), "id", "t")).count() == 0
+    assert best(spark, rows) == fewest(rows) and len(fewest(rows)) == 8
+    assert best(spark, [(str(i), "shared") for i in range(7)]) == set()
+
+
+def test_most_distinctive_are_the_terms_of_the_fewest_records(spark):
+    rows = [(f"r{i}", " ".join(f"w{k}x" for k in range(2, 40) if i % k == 0) + f" all{'  all' * (i % 3)} own{i}") for i in range(150)]
+    assert best(spark, rows) == fewest(rows)
+
+
+def test_the_score_decides(spark):
+    rows = [(f"r{i}", f"all{i % 2} some{i % 30} few{i % 50}") for i in range(150)]
+    scores = D.term_scores(spark.createDataFrame(rows, "id string, t string"), "id", "t", presence=True)
+    right = {(r["record_id"], r["term"]) for r in D.most_distinctive(scores).collect()}
+    flat = {(r["record_id"], r["term"]) for r in D.most_distinctive(scores.withColumn("score", F.lit(99.0))).collect()}
+    assert {t[:3] for _, t in right} == {"few"} and right < flat
 
 
 def test_empty(spark):
