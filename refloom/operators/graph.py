@@ -7,6 +7,7 @@ import heapq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from refloom.operators.hierarchy import cycle_nodes, hierarchy
 from refloom.plans.materialize import cut, drop
 
 
@@ -23,7 +24,7 @@ def guard(edges: DataFrame, vertices: int, most: int) -> None:
 
 
 def closure(edges: DataFrame, start: str, end: str) -> DataFrame:
-    """(node, reached): every node that can be reached from each, itself only over a cycle.
+    """(node, reached): every node that can be reached from each, itself only over a cycle (`where("node <> reached")` leaves it out).
 
     The relation is composed with itself until it stops growing, so a path of length d takes log2(d) rounds; a round
     composes what the last one found with all that is known.
@@ -40,21 +41,55 @@ def closure(edges: DataFrame, start: str, end: str) -> DataFrame:
 
 
 def layers(edges: DataFrame, before: str, after: str) -> DataFrame:
-    """(node, layer): the longest path to each node, for the nodes that no cycle leads to; one round a layer."""
+    """(node, layer): the longest path to each node, for the nodes that no cycle leads to.
+
+    Nodes with one parent hang in trees below nodes with several or none, and their depth there takes a logarithmic
+    number of rounds (`hierarchy`). Only the nodes with several parents wait for each other: one round for each on the
+    longest chain of them, over links from tree roots weighted by the depth at which they leave the tree. A null end
+    joins nothing; a link to itself is a cycle.
+    """
     e = cut(edges.select(F.col(before).alias("p"), F.col(after).alias("c")).where("p is not null and c is not null").distinct())
-    nodes = cut(e.select(F.explode(F.array("p", "c")).alias("node")).distinct())
-    left, out, k = e, None, 0
-    rest = nodes
-    while True:
-        ready = cut(rest.join(left.select(F.col("c").alias("node")).distinct(), "node", "left_anti"))
+    many = cut(e.groupBy("c").agg(F.count("*").alias("n")).where("n > 1").select("c"))
+    forest = e.join(many, "c", "left_anti").select(F.col("p").alias("parent"), F.col("c").alias("child"))
+    tree = hierarchy(forest).select(F.col("node_id").alias("node"), "root_id", "depth", "status")
+    nodes = e.select(F.explode(F.array("p", "c")).alias("node")).distinct().join(tree, "node", "left")
+    # what is in no tree is one of its own; what a cycle reaches has no root
+    place = cut(nodes.select("node", F.when(F.col("status").isNull(), F.col("node")).otherwise(F.col("root_id")).alias("root"), F.coalesce("depth", F.lit(0)).alias("depth")))
+    into = cut(e.join(many, "c").join(place.toDF("p", "r", "w"), "p").select("r", "c", (F.col("w") + 1).alias("w")))
+    known = cut(place.where("root = node").join(many.toDF("node"), "node", "left_anti").select(F.col("node").alias("r"), F.lit(0).alias("base")))
+    while not into.isEmpty():
+        met = into.join(known, "r", "left").groupBy("c").agg(F.max(F.col("base") + F.col("w")).alias("base"), F.count("*").alias("n"), F.count("base").alias("k"))
+        ready = cut(met.where("n = k").select(F.col("c").alias("r"), "base"))
         if ready.isEmpty():
             break
-        layer = ready.withColumn("layer", F.lit(k))
-        out = layer if out is None else out.unionByName(layer)
-        new_rest = cut(rest.join(ready, "node", "left_anti"))
-        new_left = cut(left.join(ready.withColumnRenamed("node", "p"), "p", "left_anti"))
-        rest, left, k = new_rest, new_left, k + 1
-    return out if out is not None else nodes.withColumn("layer", F.lit(0)).limit(0)
+        rest = cut(into.join(ready.select(F.col("r").alias("c")), "c", "left_anti"))
+        more = cut(known.unionByName(ready))
+        drop(into)
+        drop(known)
+        into, known = rest, more
+    return place.join(known.toDF("root", "base"), "root").select("node", (F.col("base") + F.col("depth")).cast("int").alias("layer"))
+
+
+def on_cycles(edges: DataFrame, before: str, after: str) -> DataFrame:
+    """(node, next): each node on a cycle with the smallest next node on a cycle through both, all links considered.
+
+    What no cycle leads to, and of the rest what leads to no cycle, is peeled off. On what remains the nodes that reach
+    each other are on cycles together.
+    """
+    e = cut(edges.select(F.col(before).alias("p"), F.col(after).alias("c")).where("p is not null and c is not null").distinct())
+    clear = layers(e, "p", "c").select("node")
+    e1 = cut(e.join(clear.toDF("p"), "p", "left_anti"))
+    lead = layers(e1, "c", "p").select("node")
+    core = cut(e1.join(lead.toDF("c"), "c", "left_anti").join(lead.toDF("p"), "p", "left_anti"))
+    reach = closure(core, "p", "c")
+    back = reach.select(F.col("node").alias("c"), F.col("reached").alias("p"))
+    return core.join(back, ["p", "c"], "left_semi").groupBy(F.col("p").alias("node")).agg(F.min("c").alias("next"))
+
+
+def concrete_cycles(ring: DataFrame) -> DataFrame:
+    """(node, next) of the cycles that following `next` from every node of `on_cycles` ends in: one path for each group of nodes, or more."""
+    there = cycle_nodes(ring.select(F.col("node").alias("child"), F.col("next").alias("parent")))
+    return ring.join(there, "node", "left_semi")
 
 
 def topological_order(edges: DataFrame, before: str, after: str, most: int = 500_000) -> list[str]:
@@ -97,8 +132,8 @@ def best_parents(edges: DataFrame, depth: DataFrame, before: str, after: str) ->
 def pagerank(edges: DataFrame, source: str, target: str, damping: float = 0.85, iterations: int = 100, tolerance: float = 1e-10) -> DataFrame:
     """(node, rank) on the distinct edges; vertices are their ends, sinks give to all, the ranks add up to 1.
 
-    Each round is one join and one aggregation with partial sums before its exchange, and one small job for the sinks'
-    mass and the change. A hub's incoming mass is summed before it moves.
+    Each round is one join and one aggregation with partial sums before its exchange, and one small job for the change and the
+    sinks' mass. A hub's incoming mass is summed before it moves.
     """
     e = cut(edges.select(F.col(source).alias("s"), F.col(target).alias("t")).where("s is not null and t is not null").distinct())
     out = e.groupBy("s").agg(F.count("*").alias("d"))
@@ -108,12 +143,12 @@ def pagerank(edges: DataFrame, source: str, target: str, damping: float = 0.85,
     if n == 0:
         return nodes.select("node", F.lit(0.0).alias("rank"))
     ranks = cut(nodes.withColumn("rank", F.lit(1.0 / n)))
+    sinks = ranks.where("d is null").count() / n
     for _ in range(iterations):
-        sinks = ranks.where("d is null").agg(F.sum("rank")).first()[0] or 0.0
         base = (1 - damping) / n + damping * sinks / n
         given = e.join(ranks.where("d is not null").select(F.col("node").alias("s"), (F.col("rank") / F.col("d")).alias("g")), "s").groupBy(F.col("t").alias("node")).agg(F.sum("g").alias("g"))
         new = cut(ranks.join(given, "node", "left").select("node", "d", (F.lit(base) + F.lit(damping) * F.coalesce("g", F.lit(0.0))).alias("rank"), F.col("rank").alias("was")))
-        change = new.agg(F.sum(F.abs(F.col("rank") - F.col("was")))).first()[0]
+        change, sinks = new.agg(F.sum(F.abs(F.col("rank") - F.col("was"))), F.coalesce(F.sum(F.when(F.col("d").isNull(), F.col("rank"))), F.lit(0.0))).first()
         drop(ranks)
         ranks = new
         if change < tolerance:

@@ -1,6 +1,6 @@
 """Parent-child links to full hierarchies: Euler tours ranked in parallel.
 
-Every node has at most one parent (of several, the smallest is taken, `n_parents` tells). Cycles come to light by
+Every node has at most one parent in a hierarchy: of several the smallest is taken, and `other_parents` lists the links left out. Cycles come to light by
 peeling leaves, 2^k layers in round k, so that a chain of depth d takes log2(d) rounds instead of d. The forest that
 is left once the links inside cycles are cut is walked by an Euler tour: every link gives an arc down and an arc up,
 each arc knows its successor, and pointer jumping ranks all tours at once in log2(longest tour) rounds. The ranks
@@ -39,6 +39,12 @@ def links(edges: DataFrame, parent: str, child: str, kind: str | None = None, ki
     return df.where("parent is not null and child is not null").select("parent", "child").distinct()
 
 
+def other_parents(pairs: DataFrame) -> DataFrame:
+    """(parent, child): the links that `hierarchy` leaves out because their child has a smaller parent too."""
+    one = pairs.groupBy("child").agg(F.min("parent").alias("least"))
+    return pairs.join(one, "child").where("parent <> least").select("parent", "child")
+
+
 def cycle_nodes(parents: DataFrame) -> DataFrame:
     """(node): the nodes on a cycle, a link to itself included. `parents` has one row (parent, child) per child.
 

@@ -29,25 +29,26 @@ def scored(rows: DataFrame, weights: dict[str, float] = WEIGHTS) -> DataFrame:
     return n.withColumn("score", F.round(sum((F.lit(w) * F.col(f"n_{d}") for d, w in weights.items()), F.lit(0.0)), 6))
 
 
-def top(rows: DataFrame, n: int, by: str = "score", key: str = "node") -> DataFrame:
-    """The n best rows with their place: a bounded top-k, not a global window."""
-    best = rows.orderBy(F.desc(by), key).limit(n)
-    return best.withColumn("place", F.row_number().over(W.orderBy(F.desc(by), key)))
+def top(rows: DataFrame, n: int, by: tuple[str, ...] = ("score", "indegree"), key: str = "node") -> DataFrame:
+    """The n best rows with their place, of equal ones the smaller key first: a bounded top-k, not a global window."""
+    order = [*map(F.desc, by), F.col(key)]
+    return rows.orderBy(*order).limit(n).withColumn("place", F.row_number().over(W.orderBy(*order)))
 
 
-def sensitivity(rows: DataFrame, weights: dict[str, float] = WEIGHTS, deltas: tuple[float, ...] = DELTAS, n: int = 10, key: str = "node") -> DataFrame:
+def sensitivity(rows: DataFrame, weights: dict[str, float] = WEIGHTS, deltas: tuple[float, ...] = DELTAS, n: int = 10, key: str = "node", then: str = "indegree") -> DataFrame:
     """(dim, delta, entered, left, changed): how the first n change when one weight moves, all variants in one pass.
 
+    Of equal scores the larger `then` comes first, then the smaller key.
     Every variant's shortlist is found by a top-n aggregation for each variant, so no variant is a job of its own.
     """
-    base = cut(normalised(rows, list(weights)).select(key, *[f"n_{d}" for d in weights]))
+    base = cut(normalised(rows, list(weights)).select(key, F.col(then).alias("then"), *[f"n_{d}" for d in weights]))
     variants = [("", 0.0), *[(d, delta) for d in weights for delta in deltas]]
     score = lambda dim, delta: F.round(sum((F.lit(max(0.0, w + (delta if d == dim else 0.0))) * F.col(f"n_{d}") for d, w in weights.items()), F.lit(0.0)), 6)
     lists = None
-    long = base.select(key, F.explode(F.array(*[F.struct(F.lit(i).alias("v"), score(*v).alias("score")) for i, v in enumerate(variants)])).alias("s")).select(key, "s.v", "s.score")
+    long = base.select(key, "then", F.explode(F.array(*[F.struct(F.lit(i).alias("v"), score(*v).alias("score")) for i, v in enumerate(variants)])).alias("s")).select(key, "then", "s.v", "s.score")
     # the best n of each variant among those of each bucket of rows: two bounded steps
     part = long.withColumn("b", F.pmod(F.xxhash64(key), F.lit(64)))
-    rank = lambda by: F.row_number().over(W.partitionBy(*by).orderBy(F.desc("score"), key))
+    rank = lambda by: F.row_number().over(W.partitionBy(*by).orderBy(F.desc("score"), F.desc("then"), key))
     few = part.withColumn("r", rank(["v", "b"])).where(F.col("r") <= n)
     lists = few.withColumn("r", rank(["v"])).where(F.col("r") <= n).groupBy("v").agg(F.transform(F.array_sort(F.collect_list(F.struct("r", key))), lambda x: x[key]).alias("list"))
     lists = cut(lists)

@@ -52,7 +52,7 @@ def corpus_issues(works: DataFrame) -> DataFrame:
     alias = w.select("work_id", F.explode("aliases").alias("alias")).distinct()
     return all_issues(
         repeated(w.select("work_id", "title", "work_type").distinct(), "work_id", "error", "duplicate-work-id"),
-        rule(w, F.size("aliases") == 0, "error", "missing-alias", at),
+        rule(w, F.coalesce(F.size("aliases"), F.lit(0)) <= 0, "error", "missing-alias", at),
         repeated(alias, "alias", "error", "duplicate-alias"),
         rule(w, ~F.col("work_type").isin(*WORK_TYPES), "error", "bad-work-type", at),
         rule(w, ~F.col("metadata_status").isin(*METADATA_STATUS), "error", "bad-metadata-status", at),

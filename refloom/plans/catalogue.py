@@ -20,7 +20,7 @@ from refloom.operators import rights as RT
 from refloom.operators import terms as T
 from refloom.operators import validate as V
 from refloom.operators.components import components
-from refloom.operators.hierarchy import cycle_nodes, hierarchy, links
+from refloom.operators.hierarchy import hierarchy, links, paths
 from refloom.plans.materialize import cut
 from refloom.sources.tables import table
 
@@ -140,23 +140,29 @@ def citing_lists(spark: SparkSession, d: str) -> DataFrame:
     return e.join(w, "source").groupBy("target").agg(F.array_join(F.array_sort(F.collect_set("alias")), " ").alias("citing"))
 
 
-def _pagerank_sql(rounds: int) -> str:
+#: After so many rounds the ranks of the SQL no longer change at the places that are compared.
+_ROUNDS = 24
+
+
+def _rank_sql(e: str, t: str = "") -> str:
+    """PageRank of the distinct links in the table `e`, as tables with the suffix `t`; the last is pr."""
     steps = "".join(
-        f""", r{k} AS (SELECT v.node, 0.15 / n.n + 0.85 * s.m / n.n + 0.85 * coalesce(g.g, 0) AS rank FROM v, n,
-        (SELECT coalesce(sum(rank), 0) AS m FROM r{k - 1} WHERE node NOT IN (SELECT source FROM o)) s
-        LEFT JOIN (SELECT e.target AS node, sum(r.rank / o.d) AS g FROM e JOIN o USING (source) JOIN r{k - 1} r ON r.node = e.source GROUP BY 1) g ON g.node = v.node)"""
-        for k in range(1, rounds + 1)
+        f""", r{k}{t} AS MATERIALIZED (SELECT v.node, 0.15 / n.n + 0.85 * s.m / n.n + 0.85 * coalesce(g.g, 0) AS rank FROM v{t} v, n{t} n,
+        (SELECT coalesce(sum(rank), 0) AS m FROM r{k - 1}{t} WHERE node NOT IN (SELECT source FROM o{t})) s
+        LEFT JOIN (SELECT e.target AS node, sum(r.rank / o.d) AS g FROM {e} e JOIN o{t} o USING (source) JOIN r{k - 1}{t} r ON r.node = e.source GROUP BY 1) g ON g.node = v.node)"""
+        for k in range(1, _ROUNDS + 1)
     )
-    return f"""WITH e AS (SELECT DISTINCT source, target FROM citation_edges WHERE source IS NOT NULL AND target IS NOT NULL),
-    o AS (SELECT source, count(*) AS d FROM e GROUP BY source), v AS (SELECT source AS node FROM e UNION SELECT target FROM e), n AS (SELECT count(*) AS n FROM v),
-    r0 AS (SELECT node, 1.0::DOUBLE / n.n AS rank FROM v, n){steps}
-    SELECT node, round(rank / (SELECT sum(rank) FROM r{rounds}), 8) AS rank FROM r{rounds}"""
+    return f"""o{t} AS (SELECT source, count(*) AS d FROM {e} GROUP BY source), v{t} AS (SELECT source AS node FROM {e} UNION SELECT target FROM {e}), n{t} AS (SELECT count(*) AS n FROM v{t}),
+    r0{t} AS (SELECT node, 1.0::DOUBLE / n.n AS rank FROM v{t}, n{t} n){steps}, pr{t} AS (SELECT node, rank / (SELECT sum(rank) FROM r{_ROUNDS}{t}) AS rank FROM r{_ROUNDS}{t})"""
+
 
+_E = "e AS MATERIALIZED (SELECT DISTINCT source, target FROM citation_edges WHERE source IS NOT NULL AND target IS NOT NULL)"
 
-@query(_pagerank_sql(10))
+
+@query(f"WITH {_E}, {_rank_sql('e')} SELECT node, round(rank, 8) AS rank FROM pr")
 def pagerank(spark: SparkSession, d: str) -> DataFrame:
-    """Ten rounds of PageRank on the citations."""
-    return G.pagerank(_edges(spark, d), "source", "target", iterations=10, tolerance=0.0).select("node", F.round("rank", 8).alias("rank"))
+    """PageRank of the citations, until it changes by less than 1e-10 in all."""
+    return G.pagerank(_edges(spark, d), "source", "target").select("node", F.round("rank", 8).alias("rank"))
 
 
 _ORDER = """e AS (SELECT DISTINCT from_node AS s, to_node AS t FROM dependencies WHERE from_node IS NOT NULL AND to_node IS NOT NULL
@@ -167,10 +173,10 @@ def _order(spark: SparkSession, d: str) -> DataFrame:
     return links(table(spark, d, "dependencies", "from_node", "to_node", "edge_type"), "from_node", "to_node", "edge_type")
 
 
-@query(f"WITH RECURSIVE {_ORDER}, r AS (SELECT s AS node, t AS reached FROM e UNION SELECT r.node, e.t FROM r JOIN e ON e.s = r.reached) SELECT node, reached FROM r")
+@query(f"WITH RECURSIVE {_ORDER}, r AS (SELECT s AS node, t AS reached FROM e UNION SELECT r.node, e.t FROM r JOIN e ON e.s = r.reached) SELECT node, reached FROM r WHERE node <> reached")
 def transitive_closure(spark: SparkSession, d: str) -> DataFrame:
-    """Everything that depends on each node, directly or not. For trees without cycles `p4_descendants` costs less."""
-    return G.closure(_order(spark, d), "parent", "child")
+    """Everything else that depends on each node, directly or not: a view as long as all paths together. `p4_found`'s intervals say it in one row a node."""
+    return G.closure(_order(spark, d), "parent", "child").where("node <> reached")
 
 
 _LAYERS = f"""RECURSIVE {_ORDER}, up AS (SELECT t AS node, s AS above FROM e UNION SELECT up.node, e.s FROM up JOIN e ON e.t = up.above),
@@ -182,17 +188,67 @@ layers AS (SELECT node, max(layer) AS layer FROM l GROUP BY node)"""
 
 @query(f"WITH {_LAYERS} SELECT node, CAST(layer AS INTEGER) AS layer FROM layers")
 def dag_layers(spark: SparkSession, d: str) -> DataFrame:
-    """Longest path to each node; in these links every node has one parent, so tour depths give it in log rounds."""
-    h = hierarchy(_order(spark, d))
-    return h.where("status = 'tree'").select(F.col("node_id").alias("node"), F.col("depth").alias("layer"))
+    """The longest path to each node, over all links."""
+    return G.layers(_order(spark, d), "parent", "child")
 
 
-@query(f"WITH {_LAYERS} SELECT ok.t AS node, arg_min(ok.s, (-layers.layer, ok.s)) AS parent FROM ok JOIN layers ON layers.node = ok.s GROUP BY ok.t")
-def best_parents(spark: SparkSession, d: str) -> DataFrame:
+_BEST = "best AS (SELECT ok.t AS node, arg_min(ok.s, (-layers.layer, ok.s)) AS parent FROM ok JOIN layers ON layers.node = ok.s GROUP BY ok.t)"
+
+
+def _best(spark: SparkSession, d: str) -> DataFrame:
     pairs = cut(_order(spark, d))
-    depth = cut(hierarchy(pairs).where("status = 'tree'").select(F.col("node_id").alias("node"), F.col("depth").alias("layer")))
-    ok = pairs.join(depth.select(F.col("node").alias("child")), "child", "left_semi")
-    return G.best_parents(ok, depth, "parent", "child")
+    depth = cut(G.layers(pairs, "parent", "child"))
+    return G.best_parents(pairs.join(depth.select(F.col("node").alias("child")), "child", "left_semi"), depth, "parent", "child")
+
+
+@query(f"WITH {_LAYERS}, {_BEST} SELECT node, parent FROM best")
+def best_parents(spark: SparkSession, d: str) -> DataFrame:
+    """Of each node's parents the deepest, of several the smallest."""
+    return _best(spark, d)
+
+
+@query(
+    f"""WITH {_LAYERS}, {_BEST}, walk AS (SELECT DISTINCT parent AS node, parent AS path FROM best WHERE parent NOT IN (SELECT node FROM best)
+    UNION ALL SELECT best.node, walk.path || ' > ' || best.node FROM walk JOIN best ON best.parent = walk.node) SELECT node, path FROM walk"""
+)
+def canonical_paths(spark: SparkSession, d: str) -> DataFrame:
+    """The path to each node over the best parents."""
+    tree = cut(hierarchy(_best(spark, d).select("parent", F.col("node").alias("child"))))
+    return paths(tree).select(F.col("node_id").alias("node"), F.array_join("path", " > ").alias("path"))
+
+
+_RING = f"""RECURSIVE {_ORDER}, reach AS (SELECT s AS node, t AS reached FROM e UNION SELECT reach.node, e.t FROM reach JOIN e ON e.s = reach.reached),
+ring AS (SELECT e.s AS node, min(e.t) AS next FROM e JOIN reach ON reach.node = e.t AND reach.reached = e.s GROUP BY e.s),
+follow AS (SELECT node, next AS at FROM ring UNION SELECT follow.node, ring.next FROM follow JOIN ring ON ring.node = follow.at)"""
+
+
+@query(f"WITH {_RING} SELECT ring.node, ring.next FROM ring JOIN follow ON follow.node = ring.node AND follow.at = ring.node")
+def dependency_cycles(spark: SparkSession, d: str) -> DataFrame:
+    """Concrete cycles, link by link: one at least for each group of nodes that reach each other."""
+    return G.concrete_cycles(cut(G.on_cycles(_order(spark, d), "parent", "child")))
+
+
+@query(f"WITH {_ORDER}, x AS (SELECT s AS node, t AS other FROM e) SELECT node, CAST(count(*) AS BIGINT) AS branches FROM x GROUP BY node HAVING count(*) > 1")
+def branches(spark: SparkSession, d: str) -> DataFrame:
+    """The nodes from which more than one way leads on."""
+    return _order(spark, d).groupBy(F.col("parent").alias("node")).agg(F.count("*").alias("branches")).where("branches > 1")
+
+
+#: A graph with a diamond, two cycles that share a node, and what hangs below and above them.
+_DIAMOND = [("a", "b"), ("a", "c"), ("b", "c"), ("c", "d"), ("b", "d"), ("d", "e"), ("x", "e"), ("e", "f"), ("p", "q"), ("q", "r"), ("r", "p"), ("r", "s"), ("s", "r"), ("o", "p"), ("s", "t"), ("t", "u"), ("f", "u"), ("k", "k")]
+_DIAMOND_SQL = "e(s, t) AS (VALUES " + ", ".join(f"('{x}', '{y}')" for x, y in _DIAMOND) + ")"
+
+
+@query(f"WITH {_LAYERS.replace(_ORDER, _DIAMOND_SQL)} SELECT node, CAST(layer AS INTEGER) AS layer FROM layers")
+def diamond_layers(spark: SparkSession, d: str) -> DataFrame:
+    """`layers` on a written graph in which nodes have several parents."""
+    return G.layers(spark.createDataFrame(_DIAMOND, "p string, c string"), "p", "c")
+
+
+@query(f"WITH {_RING.replace(_ORDER, _DIAMOND_SQL)} SELECT node, next FROM ring")
+def diamond_cycles(spark: SparkSession, d: str) -> DataFrame:
+    """`on_cycles` on that graph."""
+    return G.on_cycles(spark.createDataFrame(_DIAMOND, "p string, c string"), "p", "c")
 
 
 _ADJ = """e AS (SELECT DISTINCT from_node AS s, to_node AS t, lower(trim(edge_type)) AS k FROM dependencies WHERE from_node IS NOT NULL AND to_node IS NOT NULL),
@@ -331,15 +387,22 @@ def name_collisions(spark: SparkSession, d: str) -> DataFrame:
     return a.join(lists, "k").select("author_id", F.array_join(F.array_remove("ids", F.col("author_id")), " ").alias("collisions"))
 
 
-_DIMS = f"""{_COUPLING}, {_WORKS},
-ce AS (SELECT node, round(sum(cosine), 6) AS centrality FROM (SELECT a AS node, cosine FROM c UNION ALL SELECT b, cosine FROM c) GROUP BY node),
-de AS (SELECT target AS node, count(*) AS indegree FROM e GROUP BY target),
-gr AS (SELECT e.target AS node, count(DISTINCT nullif(upper(regexp_extract(w.aliases[1], '^([A-Za-z]+)', 1)), '')) AS groups FROM e JOIN works w ON w.work_id = e.source GROUP BY e.target),
-al AS (SELECT source AS node FROM e UNION SELECT target FROM e),
-dims AS (SELECT node, coalesce(indegree, 0) AS indegree, coalesce(centrality, 0) AS centrality, coalesce(groups, 0) AS groups FROM al LEFT JOIN de USING (node) LEFT JOIN ce USING (node) LEFT JOIN gr USING (node)),
-nd AS (SELECT node, indegree, centrality, groups, (indegree - min(indegree) OVER ()) / nullif(max(indegree) OVER () - min(indegree) OVER (), 0) AS n_indegree,
-  (centrality - min(centrality) OVER ()) / nullif(max(centrality) OVER () - min(centrality) OVER (), 0) AS n_centrality, (groups - min(groups) OVER ()) / nullif(max(groups) OVER () - min(groups) OVER (), 0) AS n_groups FROM dims)"""
-_W3 = {"indegree": 0.4, "centrality": 0.3, "groups": 0.3}
+def _dims_sql(e: str, t: str = "") -> str:
+    """Every node's four dimensions, raw and on 0 to 1 (nd), from the links in `e`, as tables with the suffix `t`."""
+    lo_hi = ", ".join(f"(d.{k} - min(d.{k}) OVER ()) / nullif(max(d.{k}) OVER () - min(d.{k}) OVER (), 0) AS n_{k}" for k in R.WEIGHTS)
+    pairs = f"""nc{t} AS (SELECT source AS i, count(*) AS n FROM {e} GROUP BY 1),
+pc{t} AS (SELECT x.source AS a, y.source AS b, count(*) AS shared FROM {e} x JOIN {e} y ON x.target = y.target AND x.source < y.source GROUP BY ALL HAVING count(*) >= 2),
+cc{t} AS (SELECT a, b, round(shared / sqrt(u.n * v.n), 6) AS cosine FROM pc{t} JOIN nc{t} u ON u.i = a JOIN nc{t} v ON v.i = b)"""
+    return f"""{pairs}, {_rank_sql(e, t)},
+ce{t} AS (SELECT node, round(sum(cosine), 6) AS centrality FROM (SELECT a AS node, cosine FROM cc{t} UNION ALL SELECT b, cosine FROM cc{t}) GROUP BY node),
+de{t} AS (SELECT target AS node, count(*) AS indegree FROM {e} GROUP BY target),
+gr{t} AS (SELECT e.target AS node, count(DISTINCT nullif(upper(regexp_extract(w.aliases[1], '^([A-Za-z]+)', 1)), '')) AS groups FROM {e} e JOIN works w ON w.work_id = e.source GROUP BY e.target),
+dims{t} AS (SELECT node, coalesce(indegree, 0) AS indegree, pr.rank, coalesce(centrality, 0) AS centrality, coalesce(groups, 0) AS groups FROM pr{t} pr LEFT JOIN de{t} USING (node) LEFT JOIN ce{t} USING (node) LEFT JOIN gr{t} USING (node)),
+nd{t} AS MATERIALIZED (SELECT d.*, {lo_hi} FROM dims{t} d)"""
+
+
+_DIMS = f"{_E}, {_WORKS}, {_dims_sql('e')}"
+_BY = "score DESC, indegree DESC, node"
 
 
 def _score_sql(w: dict[str, float]) -> str:
@@ -347,77 +410,61 @@ def _score_sql(w: dict[str, float]) -> str:
 
 
 def _dims(spark: SparkSession, d: str, without: str | None = None) -> DataFrame:
+    """Every work's four dimensions; `without` leaves a work and its citations out of all of them."""
     e = _edges(spark, d).where("source is not null and target is not null").distinct()
     if without is not None:
         e = e.where((F.col("source") != without) & (F.col("target") != without))
     e = cut(e)
     g = _works(spark, d, "aliases").select(F.col("work_id").alias("source"), B.seed_group(F.get("aliases", F.lit(0))).alias("grp"))
     groups = e.join(g, "source").groupBy(F.col("target").alias("node")).agg(F.countDistinct("grp").alias("groups"))
-    every = e.select(F.explode(F.array("source", "target")).alias("node")).distinct()
-    out = every.join(E.indegree(e).withColumnRenamed("target", "node"), "node", "left").join(E.centrality(E.shared_pairs(e, "source", "target")), "node", "left").join(groups, "node", "left")
+    ranks = G.pagerank(e, "source", "target")
+    out = ranks.join(E.indegree(e).withColumnRenamed("target", "node"), "node", "left").join(E.centrality(E.shared_pairs(e, "source", "target")), "node", "left").join(groups, "node", "left")
     return cut(out.na.fill(0))
 
 
-@query(f"WITH {_DIMS} SELECT node, CAST(indegree AS BIGINT) AS indegree, centrality, CAST(groups AS BIGINT) AS groups, {_score_sql(_W3)} AS score FROM nd")
+@query(f"WITH {_DIMS} SELECT node, CAST(indegree AS BIGINT) AS indegree, round(rank, 8) AS rank, centrality, CAST(groups AS BIGINT) AS groups, {_score_sql(R.WEIGHTS)} AS score FROM nd")
 def work_ranking(spark: SparkSession, d: str) -> DataFrame:
     """Every work's dimensions and its weighted score."""
-    return R.scored(_dims(spark, d), _W3).select("node", "indegree", "centrality", "groups", "score")
+    return R.scored(_dims(spark, d)).select("node", "indegree", F.round("rank", 8).alias("rank"), "centrality", "groups", "score")
+
 
+_SCORED = f"s AS (SELECT node, indegree, {_score_sql(R.WEIGHTS)} AS score FROM nd)"
 
-@query(f"WITH {_DIMS}, s AS (SELECT node, {_score_sql(_W3)} AS score FROM nd) SELECT node, score, CAST(row_number() OVER (ORDER BY score DESC, node) AS INTEGER) AS place FROM s ORDER BY score DESC, node LIMIT 10")
+
+@query(f"WITH {_DIMS}, {_SCORED} SELECT node, CAST(indegree AS BIGINT) AS indegree, score, CAST(row_number() OVER (ORDER BY {_BY}) AS INTEGER) AS place FROM s ORDER BY {_BY} LIMIT 10")
 def work_ranking_top10(spark: SparkSession, d: str) -> DataFrame:
-    return R.top(R.scored(_dims(spark, d), _W3).select("node", "score"), 10)
+    return R.top(R.scored(_dims(spark, d)).select("node", "indegree", "score"), 10)
 
 
 _VARIANTS = " UNION ALL ".join(
-    f"SELECT '{k}' AS dim, {dl}::DOUBLE AS delta, node, {_score_sql({j: max(0.0, w + (dl if j == k else 0.0)) for j, w in _W3.items()})} AS score FROM nd" for k in _W3 for dl in R.DELTAS
+    f"SELECT '{k}' AS dim, {dl}::DOUBLE AS delta, node, indegree, {_score_sql({j: max(0.0, w + (dl if j == k else 0.0)) for j, w in R.WEIGHTS.items()})} AS score FROM nd" for k in R.WEIGHTS for dl in R.DELTAS
 )
 
 
 @query(
-    f"""WITH {_DIMS}, v AS ({_VARIANTS}), r AS (SELECT *, row_number() OVER (PARTITION BY dim, delta ORDER BY score DESC, node) AS place FROM v),
-    l AS (SELECT dim, delta, list(node ORDER BY place) AS l FROM r WHERE place <= 10 GROUP BY ALL),
-    b AS (SELECT list(node ORDER BY score DESC, node) AS b FROM (SELECT node, {_score_sql(_W3)} AS score FROM nd ORDER BY 2 DESC, 1 LIMIT 10))
+    f"""WITH {_DIMS}, {_SCORED}, va AS ({_VARIANTS}), ra AS (SELECT *, row_number() OVER (PARTITION BY dim, delta ORDER BY {_BY}) AS place FROM va),
+    l AS (SELECT dim, delta, list(node ORDER BY place) AS l FROM ra WHERE place <= 10 GROUP BY ALL),
+    b AS (SELECT list(node ORDER BY {_BY}) AS b FROM (SELECT * FROM s ORDER BY {_BY} LIMIT 10))
     SELECT dim, delta, array_to_string(list_sort(list_filter(l, lambda x: NOT list_contains(b, x))), ',') AS entered, array_to_string(list_sort(list_filter(b, lambda x: NOT list_contains(l, x))), ',') AS "left", l <> b AS changed FROM l, b"""
 )
 def sensitivity_grid(spark: SparkSession, d: str) -> DataFrame:
-    """How the ten best change when one weight moves."""
-    return R.sensitivity(_dims(spark, d), _W3)
-
-
-def _all_dims(spark: SparkSession, d: str, without: str | None = None) -> DataFrame:
-    """_dims with PageRank, which is computed anew on the edges that remain."""
-    e = _edges(spark, d).where("source is not null and target is not null")
-    if without is not None:
-        e = e.where((F.col("source") != without) & (F.col("target") != without))
-    return cut(_dims(spark, d, without).join(G.pagerank(e, "source", "target"), "node", "left").na.fill(0.0, ["rank"]))
+    """How the ten best change when one weight moves: sixteen variants."""
+    return R.sensitivity(_dims(spark, d))
 
 
-@query()
-def reading_priority(spark: SparkSession, d: str) -> DataFrame:
-    """Every work's four dimensions, PageRank among them, and its weighted score."""
-    return R.scored(_all_dims(spark, d)).select("node", "indegree", "rank", "centrality", "groups", "score")
-
-
-@query()
-def reading_priority_top10(spark: SparkSession, d: str) -> DataFrame:
-    return R.top(R.scored(_all_dims(spark, d)).select("node", "score"), 10)
-
-
-@query()
-def reading_priority_grid(spark: SparkSession, d: str) -> DataFrame:
-    """How the ten best by all four dimensions change when one weight moves."""
-    return R.sensitivity(_all_dims(spark, d))
-
-
-@query()
+@query(
+    f"""WITH {_DIMS}, {_SCORED}, b AS MATERIALIZED (SELECT node, row_number() OVER (ORDER BY {_BY}) AS place FROM s ORDER BY {_BY} LIMIT 11),
+    e2 AS MATERIALIZED (SELECT * FROM e WHERE source <> (SELECT node FROM b WHERE place = 1) AND target <> (SELECT node FROM b WHERE place = 1)), {_dims_sql('e2', 'x')},
+    s2 AS (SELECT node, indegree, {_score_sql(R.WEIGHTS)} AS score FROM ndx)
+    SELECT a.node, CAST(a.place AS INTEGER) AS place, CAST(b.place AS INTEGER) AS was FROM (SELECT node, row_number() OVER (ORDER BY {_BY}) AS place FROM s2 ORDER BY {_BY} LIMIT 10) a LEFT JOIN b USING (node)"""
+)
 def leave_one_out(spark: SparkSession, d: str) -> DataFrame:
-    """The ten best without the best work, beside the places they had, by all four dimensions."""
-    before = cut(R.top(R.scored(_all_dims(spark, d)).select("node", "score"), 11))
+    """The ten best without the best work, PageRank and all other dimensions computed anew, beside the places they had."""
+    before = cut(R.top(R.scored(_dims(spark, d)).select("node", "indegree", "score"), 11))
     best = before.where("place = 1").first()
     if best is None:
         return before.select("node", "place", F.lit(None).cast("int").alias("was"))
-    after = R.top(R.scored(_all_dims(spark, d, best["node"])).select("node", "score"), 10)
+    after = R.top(R.scored(_dims(spark, d, best["node"])).select("node", "indegree", "score"), 10)
     return after.join(before.select("node", F.col("place").alias("was")), "node", "left").select("node", "place", "was")
 
 
@@ -471,12 +518,12 @@ def works_without_fulltext(spark: SparkSession, d: str) -> DataFrame:
 _ISSUES = """w AS (SELECT * FROM corpus),
 al AS (SELECT DISTINCT work_id, unnest(aliases) AS alias FROM corpus),
 d AS (SELECT from_node AS f, to_node AS t, lower(trim(edge_type)) AS k FROM dependencies),
-one AS (SELECT t AS c, min(f) AS p FROM d WHERE f IS NOT NULL AND t IS NOT NULL AND k IN ('prerequisite', 'conditional', 'orientation', 'historical') GROUP BY t),
-up AS (SELECT c AS node, p AS above FROM one UNION SELECT up.node, one.p FROM up JOIN one ON one.c = up.above),
+od AS (SELECT DISTINCT t AS c, f AS p FROM d WHERE f IS NOT NULL AND t IS NOT NULL AND k IN ('prerequisite', 'conditional', 'orientation', 'historical')),
+up AS (SELECT c AS node, p AS above FROM od UNION SELECT up.node, od.p FROM up JOIN od ON od.c = up.above),
 i AS (
   SELECT 'error' AS severity, 'duplicate-alias' AS code, alias AS location FROM al WHERE alias IS NOT NULL GROUP BY alias HAVING count(*) > 1
   UNION SELECT 'error', 'duplicate-work-id', work_id FROM (SELECT DISTINCT work_id, title, work_type FROM w) WHERE work_id IS NOT NULL GROUP BY work_id HAVING count(*) > 1
-  UNION SELECT 'error', 'missing-alias', work_id FROM w WHERE len(aliases) = 0
+  UNION SELECT 'error', 'missing-alias', work_id FROM w WHERE coalesce(len(aliases), 0) = 0
   UNION SELECT 'error', 'bad-work-type', work_id FROM w WHERE work_type NOT IN ('article', 'book', 'notes', 'sequence', 'web_page', 'collection')
   UNION SELECT 'error', 'bad-metadata-status', work_id FROM w WHERE metadata_status NOT IN ('verified', 'unverified')
   UNION SELECT 'error', 'bad-title-status', work_id FROM w WHERE title_status NOT IN ('present', 'unknown')
@@ -496,8 +543,7 @@ i AS (
 def validator_issues(spark: SparkSession, d: str) -> DataFrame:
     works = table(spark, d, "corpus", "work_id", "aliases", "title", "title_status", "work_type", "metadata_status", "access_state", "identifiers")
     deps = table(spark, d, "dependencies", "from_node", "to_node", "edge_type")
-    one = _order(spark, d).groupBy("child").agg(F.min("parent").alias("parent"))
-    return V.corpus_issues(works).unionByName(V.dependency_issues(deps, cycle_nodes(one)))
+    return V.corpus_issues(works).unionByName(V.dependency_issues(deps, G.on_cycles(_order(spark, d), "parent", "child")))
 
 
 @query("SELECT severity, code, CAST(count(*) AS BIGINT) AS issues FROM (WITH RECURSIVE " + _ISSUES + " SELECT * FROM i) GROUP BY ALL")

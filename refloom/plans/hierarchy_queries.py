@@ -52,8 +52,13 @@ def p4_cycles(spark: SparkSession, d: str) -> DataFrame:
     return h.select("node_id", F.col("parent_id").alias("previous_id"))
 
 
+def p4_other_parents(spark: SparkSession, d: str) -> DataFrame:
+    """The links left out because their node has a smaller parent."""
+    return H.other_parents(_pairs(spark, d))
+
+
 def queries() -> dict:
-    return {"p4_found": p4_found, "p4_paths": p4_paths, "p4_descendants": p4_descendants, "p4_cycles": p4_cycles}
+    return {"p4_other_parents": p4_other_parents, "p4_found": p4_found, "p4_paths": p4_paths, "p4_descendants": p4_descendants, "p4_cycles": p4_cycles}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -68,5 +73,6 @@ def oracle_sql() -> dict[str, str]:
         "p4_descendants": f"""WITH {_LINKS}
             SELECT a.node AS node_id, b.node AS descendant_id, CAST(b.depth - a.depth AS INTEGER) AS distance
             FROM up JOIN walk a ON a.node = up.above JOIN walk b ON b.node = up.node""",
+        "p4_other_parents": f"WITH {_LINKS} SELECT l.parent, l.child FROM l JOIN one USING (child) WHERE l.parent <> one.parent",
         "p4_cycles": f"WITH {_LINKS} SELECT child AS node_id, parent AS previous_id FROM one WHERE child IN (SELECT node FROM ring)",
     }
