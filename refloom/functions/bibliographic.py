@@ -70,8 +70,32 @@ def discovered_id(doi_: Column, isbn: Column, basis: Column) -> Column:
     return F.coalesce(F.concat(F.lit("doi:"), doi_), F.concat(F.lit("isbn:"), isbn), local_id(basis))
 
 
+_NAME = r"[A-Z][\p{L}\p{N}_'-]+,\s*(?:[A-Z]\.\s*){1,3}|(?:[A-Z]\.\s*){1,3}[A-Z][\p{L}\p{N}_'-]+".replace("'", "’")
+_BETWEEN = r"\s*(?:, *[Aa]nd\b|,|;|\b[Aa]nd\b|&|\.)\s*"
+#: A name with initials at the beginning of a list, and one after another name and what parts them.
+FIRST_NAME, NEXT_NAME = rf"^({_NAME})", rf"^{_BETWEEN}({_NAME})"
+#: What follows the word ISBN and has its shape.
+MARKED_ISBN = r"ISBN(?:-1[03])?:?\s*((?:97[89][- ]?)?\d[- \d]{8,}[\dXx])\b"
+_MARKER = r"^\s*(?:\[\d{1,3}\]|\(\d{1,3}\)|\d{1,3}\.)\s*"
+
+
+def reference_authors(raw: Column) -> Column:
+    """The names with initials that a reference string begins with, in order; none for null.
+
+    One expression walks the list: each match must begin where the one before ended.
+    """
+    body = F.regexp_replace(raw, _MARKER, "")
+    found = F.regexp_extract_all(body, F.lit(rf"(?:^|\G(?!^){_BETWEEN})({_NAME})"), F.lit(1))
+    return F.transform(found, lambda n: F.trim(F.regexp_replace(n, r",\s*", ", ")))
+
+
+def isbn_shaped(raw: Column) -> Column:
+    """Whether something of an ISBN's shape stands after that word."""
+    return raw.rlike(MARKED_ISBN)
+
+
 def parsed_reference(raw: Column) -> Column:
-    """struct(doi, url, year, volume, issue, pages, title) of a reference string.
+    """struct(doi, url, year, volume, issue, pages, title, authors, isbn, warnings) of a reference string.
 
     The year is the last number from 1500 to 2099 outside identifiers. volume(issue):pages is read as such, else a page
     range alone. A quoted run of 8 to 300 characters is the title, else the first sentence-like part that follows the names.
@@ -91,7 +115,10 @@ def parsed_reference(raw: Column) -> Column:
     names = r"^\s*(?:(?:\p{Lu}[\p{L}'’-]*\.?|and|y|et|und|&|van|von|der|de|la|ten|al|al\.)[,;]?\s*)+$"
     other = F.get(F.filter(parts, lambda p: ~p.rlike(names)), F.lit(0))
     title = F.coalesce(F.regexp_replace(quoted, r"[,.\s]+$", ""), F.nullif(F.trim(F.coalesce(other, F.get(parts, F.lit(0)))), F.lit("")))
-    return F.struct(d.alias("doi"), url.alias("url"), year.alias("year"), volume.alias("volume"), issue.alias("issue"), pages.alias("pages"), title.alias("title"))
+    isbn = isbn13(F.regexp_extract(raw, MARKED_ISBN, 1))
+    warned = F.array(F.when(isbn_shaped(raw) & isbn.isNull(), "isbn-checksum"), F.when(title.isNull(), "no-title"))
+    warnings = F.filter(warned, lambda w: w.isNotNull())
+    return F.struct(d.alias("doi"), url.alias("url"), year.alias("year"), volume.alias("volume"), issue.alias("issue"), pages.alias("pages"), title.alias("title"), reference_authors(raw).alias("authors"), isbn.alias("isbn"), warnings.alias("warnings"))
 
 
 def citation_metadata(meta: Column) -> Column:

@@ -95,6 +95,29 @@ def merge_records(records: DataFrame) -> DataFrame:
     return keyed.where("key is not null").join(best, "key").select("id", F.col("best").alias("canonical_id")).unionByName(keyed.where("key is null").select("id", F.col("id").alias("canonical_id")))
 
 
+def merged_records(records: DataFrame) -> DataFrame:
+    """(id, doi, isbn, cited_by, merged_from) of records (id, title, authors, year, doi, isbn, cited_by) after `merge_records`.
+
+    The canonical record's DOI and ISBN count first, then those of the others by what else they have and by id. The
+    lists that cite them are united and sorted as text, as are the ids merged away.
+    """
+    one = records.where("id is not null").dropDuplicates(["id"])
+    rows = cut(one.select("id", "doi", "isbn", "cited_by").join(merge_records(records), "id"))
+    other = (F.col("id") != F.col("canonical_id")).alias("other")
+    first = lambda c, beside: F.min_by(c, F.when(F.col(c).isNotNull(), F.struct(other, F.col(beside).isNull().alias("bare"), "id"))).alias(c)
+    main = rows.groupBy("canonical_id").agg(first("doi", "isbn"), first("isbn", "doi"), F.array_join(F.array_sort(F.collect_set(F.when(other, F.col("id")))), " ").alias("merged_from"))
+    cited = rows.select("canonical_id", F.explode("cited_by").alias("c")).where("c is not null").groupBy("canonical_id").agg(F.array_join(F.array_sort(F.collect_set("c")), " ").alias("cited_by"))
+    out = main.join(cited, "canonical_id", "left")
+    return out.select(F.col("canonical_id").alias("id"), "doi", "isbn", F.coalesce("cited_by", F.lit("")).alias("cited_by"), "merged_from")
+
+
+def promoted(records: DataFrame, alias: DataFrame) -> DataFrame:
+    """(source, target, weight): citations of records (id, cited_by) with the ids of `alias` (id, canonical_id) in place of their own."""
+    one = records.where("id is not null").dropDuplicates(["id"]).select("id", F.explode("cited_by").alias("source")).where("source is not null")
+    there = one.join(alias, "id", "left").select("source", "id", F.coalesce("canonical_id", "id").alias("target"))
+    return there.groupBy("source", "target").agg(F.countDistinct("id").alias("weight"))
+
+
 def latest(rows: DataFrame, key: str, *order: str) -> DataFrame:
     """The last row of each key by `order`: the view of an append-only log as a table with that primary key.
 

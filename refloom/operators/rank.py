@@ -71,3 +71,19 @@ def author_credit(authorship: DataFrame, indegree: DataFrame) -> DataFrame:
     d = a.select("author", "work").distinct()
     met = d.join(d.withColumnRenamed("author", "other"), "work").where("author <> other").groupBy("author").agg(F.countDistinct("other").alias("coauthors"))
     return credit.join(met, "author", "left").select("author", "works", "credit", F.coalesce("coauthors", F.lit(0)).alias("coauthors"))
+
+
+def author_ranking(authorship: DataFrame, indegree: DataFrame, groups: DataFrame, best: DataFrame) -> DataFrame:
+    """`author_credit` with display_names, seed_groups, top_contribution and the least certain identity of each author.
+
+    `authorship` has author, work, name, team, confidence, basis; `groups` (work, grp) tells each work's group, `best`
+    (work) the works whose teams share the top contribution.
+    """
+    a = cut(authorship)
+    rows = a.join(groups, "work", "left").join(best.withColumn("top", F.lit(True)), "work", "left")
+    names = rows.groupBy("author").agg(
+        F.array_join(F.array_sort(F.collect_set("name")), "; ").alias("display_names"), F.countDistinct("grp").alias("seed_groups"),
+        F.round(F.sum(F.when(F.col("top"), 1 / F.col("team")).otherwise(0.0)), 4).alias("top_contribution"),
+        F.min("confidence").alias("identity_confidence"), F.min_by("basis", F.struct("work", "position")).alias("identity_basis"),
+    )
+    return author_credit(a, indegree).join(names, "author")
