@@ -110,7 +110,9 @@ def parsed_reference(raw: Column) -> Column:
     volume, issue = F.nullif(F.regexp_extract(clean, vip, 1), F.lit("")), F.nullif(F.regexp_extract(clean, vip, 2), F.lit(""))
     pages = F.nullif(F.regexp_replace(F.regexp_extract(clean, r"\b(\d{1,5}\s*[-–]\s*\d{1,5})\b", 1), r"\s*[-–]\s*", "-"), F.lit(""))
     quoted = F.nullif(F.regexp_extract(clean, r"[\"“«]([^\"”»]{8,300})[\"”»]", 1), F.lit(""))
-    parts = F.filter(F.split(clean, r"(?<!\b\p{Lu})\.\s+|:\s+"), lambda p: (F.length(F.trim(p)) >= 8) & ~p.rlike(r"^\s*\d{4}\s*$") & (F.size(F.split(F.trim(p), r"\s+")) >= 3))
+    # the list of names at the beginning is no part of the title
+    rest = F.regexp_replace(F.regexp_replace(clean, rf"^(?:{_NAME})(?:{_BETWEEN}(?:{_NAME}))*", ""), r"^[ .,;:&]+", "")
+    parts = F.filter(F.split(rest, r"(?<!\b\p{Lu})\.\s+|:\s+"), lambda p: (F.length(F.trim(p)) >= 8) & ~p.rlike(r"^\s*\d{4}\s*$") & (F.size(F.split(F.trim(p), r"\s+")) >= 3))
     # a part of nothing but capitalised words, initials and particles reads as names, unless there is no other
     names = r"^\s*(?:(?:\p{Lu}[\p{L}'’-]*\.?|and|y|et|und|&|van|von|der|de|la|ten|al|al\.)[,;]?\s*)+$"
     other = F.get(F.filter(parts, lambda p: ~p.rlike(names)), F.lit(0))

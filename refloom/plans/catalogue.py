@@ -658,7 +658,7 @@ def url_parts(spark: SparkSession, d: str) -> DataFrame:
     return p.select("page_id", B.host(F.col("url")).alias("host"), B.url_path(F.col("url")).alias("path"))
 
 
-_MATRIX = ", ".join(f"('{t}', '{f}', '{ {'e': 'expected', 'o': 'optional', 'n': 'not_applicable'}[v]}')" for t, kinds in X.EXPECTED.items() for f, v in kinds.items())
+_MATRIX = ", ".join(f"('{t}', '{f}', '{v}')" for t, kinds in X.EXPECTED.items() for f, v in kinds.items())
 
 
 @query(
@@ -694,8 +694,8 @@ def clearance_mask(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """SELECT doc_id, CASE WHEN regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}') THEN 'email' WHEN regexp_matches(text, '(?i)\\b(api[_-]?key|secret|token|password)\\b\\s*[:=]\\s*\\S+') THEN 'key-value'
-    WHEN regexp_matches(text, '\\bsk-[A-Za-z0-9]{16,}') THEN 'token' WHEN regexp_matches(text, '(?:/home/|/Users/)[A-Za-z0-9._-]+/') THEN 'path' ELSE 'none' END AS leak FROM documents WHERE text IS NOT NULL"""
+    """SELECT doc_id, CASE WHEN regexp_matches(text, '(?i)\\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}\\b') THEN 'email' WHEN regexp_matches(text, '(?i)\\b(api[_-]?key|secret|token|password)\\b\\s*[=:]\\s*\\S+') THEN 'key-value'
+    WHEN regexp_matches(text, '\\bsk-[A-Za-z0-9]{16,}\\b') THEN 'token' WHEN regexp_matches(text, '(?:/home/|/Users/)[A-Za-z0-9._-]+/') THEN 'path' ELSE 'none' END AS leak FROM documents WHERE text IS NOT NULL"""
 )
 def leak_scan(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents", "doc_id", "text").where("text is not null").select("doc_id", F.coalesce(RT.leak(F.col("text")), F.lit("none")).alias("leak"))

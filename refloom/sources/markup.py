@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Elements whose content is no text of the page, elements that end a run of text, elements without an end (fixed values).
-DROPPED = frozenset("script style nav footer noscript template svg form iframe".split())
-BLOCKS = frozenset("p div section article main header aside ul ol li h1 h2 h3 h4 h5 h6 table tr td th blockquote pre figure figcaption dl dt dd address body html".split())
+DROPPED = frozenset("script style noscript nav header footer aside form button svg iframe template".split())
+BLOCKS = frozenset("p div section article main ul ol li h1 h2 h3 h4 h5 h6 table tr td th blockquote pre figure figcaption dl dt dd address body html".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BLOCK = "struct<kind: string, text: string, level: int, start: int, end: int, container: string>"
 PARSED = f"text string, blocks array<{BLOCK}>, meta map<string, array<string>>, title_tag string"
@@ -60,7 +60,7 @@ class _Page(HTMLParser):
             return
         if tag in BLOCKS or tag in DROPPED:
             self._end_run()
-        self.open.append((tag, a.get("class") or None))
+        self.open.append((tag, a.get("class") or a.get("id") or None))
 
     def handle_endtag(self, tag: str) -> None:
         if not any(t == tag for t, _ in self.open):
