@@ -7,10 +7,10 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
-from refloom.plans import catalogue, hierarchy_queries
+from refloom.plans import catalogue, corpus_queries, hierarchy_queries
 
 DIR = "/root/testdata/sf0.001"
-SQL = {**catalogue.oracle_sql(), **hierarchy_queries.oracle_sql()}
+SQL = {**catalogue.oracle_sql(), **corpus_queries.oracle_sql(), **hierarchy_queries.oracle_sql()}
 pytestmark = pytest.mark.skipif(not os.path.isdir(DIR), reason="no test tables")
 
 
@@ -53,11 +53,11 @@ def test_entry(spark):
     assert entry.entry(spark).columns
 
 
-def test_reading_priority_weighs_pagerank(spark, tmp_path):
+def test_work_ranking_weighs_pagerank(spark, tmp_path):
     from refloom.plans import catalogue as C
 
     edges = [("a", "b"), ("b", "c"), ("c", "d"), ("e", "b"), ("f", "d")]
     spark.createDataFrame(edges, "source string, target string").write.parquet(str(tmp_path / "citation_edges.parquet"))
     spark.createDataFrame([(n, ["A1"]) for n in "abcdef"], "work_id string, aliases array<string>").write.parquet(str(tmp_path / "corpus.parquet"))
-    score = {r["node"]: r["score"] for r in C.reading_priority(spark, str(tmp_path)).collect()}
+    score = {r["node"]: r["score"] for r in C.work_ranking(spark, str(tmp_path)).collect()}
     assert score["d"] > score["b"]  # as often cited, but from works that are cited

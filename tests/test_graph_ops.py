@@ -61,12 +61,28 @@ def test_order_layers_closure(spark):
         G.guard(dag, 3, 100)
 
 
+def test_general_graphs(spark):
+    from refloom.operators import hierarchy as H
+
+    # a long chain, a diamond beside a direct link, two cycles with a node in common, what leads there and away, a loop
+    links = [(f"n{i}", f"n{i + 1}") for i in range(40)] + [("n0", "n39"), ("a", "b"), ("a", "c"), ("b", "c"), ("c", "d"), ("p", "q"), ("q", "r"), ("r", "p"), ("r", "s"), ("s", "r"), ("o", "p"), ("s", "t"), ("d", "t"), ("k", "k")]
+    e = edges(spark, links)
+    got = {r["node"]: r["layer"] for r in G.layers(e, "source", "target").collect()}
+    assert got == {f"n{i}": i for i in range(41)} | {"a": 0, "b": 1, "c": 2, "d": 3, "o": 0}
+    ring = G.on_cycles(e, "source", "target")
+    assert {r["node"]: r["next"] for r in ring.collect()} == {"p": "q", "q": "r", "r": "p", "s": "r", "k": "k"}
+    assert {r["node"] for r in G.concrete_cycles(ring).collect()} == {"p", "q", "r", "k"}
+    assert G.on_cycles(edges(spark, []), "source", "target").count() == 0 and G.layers(edges(spark, []), "source", "target").count() == 0
+    pairs = e.toDF("parent", "child")
+    assert ("b", "c") in {tuple(r) for r in H.other_parents(pairs).collect()}
+
+
 def test_normalised_and_sensitivity(spark):
     rows = spark.createDataFrame([("a", 0, 5.0), ("b", 5, 5.0), ("c", 10, 5.0)], "node string, x int, y double")
     n = {r["node"]: (r["n_x"], r["n_y"]) for r in R.normalised(rows, ["x", "y"]).collect()}
     assert n == {"a": (0.0, 0.0), "b": (0.5, 0.0), "c": (1.0, 0.0)}
     assert R.scored(rows.limit(0), {"x": 1.0}).count() == 0
-    grid = R.sensitivity(rows, {"x": 0.5, "y": 0.5}, (-0.1, 0.1), 2).collect()
+    grid = R.sensitivity(rows, {"x": 0.5, "y": 0.5}, (-0.1, 0.1), 2, then="x").collect()
     assert len(grid) == 4 and all(r["entered"] == "" and not r["changed"] for r in grid)
 
 
@@ -82,6 +98,21 @@ def test_merge_records(spark):
     assert got == {"l1": "d1", "d1": "d1", "l2": "l2", "l3": "l3"}
 
 
+def test_merged_and_promoted(spark):
+    rows = [("l1", "A Title", ["Bo Chen"], 2020, None, "i1", ["x", "y"]), ("d1", "a title!", ["B. Chen"], 2020, "10.1/x", None, ["y", None]), ("l2", "Other", None, None, None, None, None), (None, "x", None, None, None, None, ["z"])]
+    df = spark.createDataFrame(rows, "id string, title string, authors array<string>, year int, doi string, isbn string, cited_by array<string>")
+    got = {r["id"]: (r["doi"], r["isbn"], r["cited_by"], r["merged_from"]) for r in E.merged_records(df).collect()}
+    assert got == {"d1": ("10.1/x", "i1", "x y", "l1"), "l2": (None, None, "", "")}
+    assert sorted(map(tuple, E.promoted(df, E.merge_records(df)).collect())) == [("x", "d1", 1), ("y", "d1", 2)]
+
+
+def test_author_ranking(spark):
+    a = E.authorship(spark.createDataFrame([("w", ["Cleo Duarte", "A. Rivera"]), ("v", ["C. Duarte"])], "w string, a array<string>"), "w", "a", 0.5, "x")
+    degree, groups, best = spark.createDataFrame([("w", 2)], "target string, indegree long"), spark.createDataFrame([("w", "A"), ("v", "B")], "work string, grp string"), spark.createDataFrame([("w",)], "work string")
+    got = {r["author"]: (r["display_names"], r["works"], r["credit"], r["seed_groups"], r["top_contribution"], r["identity_basis"]) for r in R.author_ranking(a, degree, groups, best).collect()}
+    assert got == {"author:duarte c": ("C. Duarte; Cleo Duarte", 2, 1.0, 2, 0.5, "x"), "author:rivera a": ("A. Rivera", 1, 1.0, 1, 0.5, "x")}
+
+
 def test_latest(spark):
     log = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, None)], "k string, at int, v string")
     assert sorted(map(tuple, E.latest(log, "k", "at").collect())) == [("a", 2, "y"), ("b", 1, None)]
