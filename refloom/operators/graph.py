@@ -7,7 +7,7 @@ import heapq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refloom.operators.hierarchy import cycle_nodes, hierarchy
+from refloom.operators.hierarchy import cycle_nodes
 from refloom.plans.materialize import cut, drop
 
 
@@ -40,21 +40,42 @@ def closure(edges: DataFrame, start: str, end: str) -> DataFrame:
     return known
 
 
+def tops(parents: DataFrame) -> DataFrame:
+    """(node, root, depth) of links (parent, child) with one parent a child: the node where each child's chain of parents ends.
+
+    Pointer jumping: round k ends the chains of up to 2^k links. A round that ends none has only chains left that lead
+    into a cycle; those give no row. A parent with very many children meets a one-row side.
+    """
+    at, left = cut(parents.select(F.col("child").alias("v"), F.col("parent").alias("to"), F.lit(1).alias("d"), F.lit(False).alias("done"))), None
+    while True:
+        ahead = at.select(F.col("v").alias("to"), F.col("to").alias("onward"), F.col("d").alias("more"), F.col("done").alias("ended"))
+        step = at.where("not done").join(ahead, "to", "left")
+        moved = step.select("v", F.coalesce("onward", "to").alias("to"), (F.col("d") + F.coalesce("more", F.lit(0))).alias("d"), (F.col("onward").isNull() | F.col("ended")).alias("done"))
+        new = cut(moved.unionByName(at.where("done")))
+        drop(at)
+        at = new
+        n = at.where("not done").count()
+        if n == 0 or n == left:
+            return at.where("done").select(F.col("v").alias("node"), F.col("to").alias("root"), F.col("d").alias("depth"))
+        left = n
+
+
 def layers(edges: DataFrame, before: str, after: str) -> DataFrame:
     """(node, layer): the longest path to each node, for the nodes that no cycle leads to.
 
     Nodes with one parent hang in trees below nodes with several or none, and their depth there takes a logarithmic
-    number of rounds (`hierarchy`). Only the nodes with several parents wait for each other: one round for each on the
+    number of rounds (`tops`). Only the nodes with several parents wait for each other: one round for each on the
     longest chain of them, over links from tree roots weighted by the depth at which they leave the tree. A null end
     joins nothing; a link to itself is a cycle.
     """
     e = cut(edges.select(F.col(before).alias("p"), F.col(after).alias("c")).where("p is not null and c is not null").distinct())
     many = cut(e.groupBy("c").agg(F.count("*").alias("n")).where("n > 1").select("c"))
-    forest = e.join(many, "c", "left_anti").select(F.col("p").alias("parent"), F.col("c").alias("child"))
-    tree = hierarchy(forest).select(F.col("node_id").alias("node"), "root_id", "depth", "status")
-    nodes = e.select(F.explode(F.array("p", "c")).alias("node")).distinct().join(tree, "node", "left")
-    # what is in no tree is one of its own; what a cycle reaches has no root
-    place = cut(nodes.select("node", F.when(F.col("status").isNull(), F.col("node")).otherwise(F.col("root_id")).alias("root"), F.coalesce("depth", F.lit(0)).alias("depth")))
+    forest = cut(e.join(many, "c", "left_anti").select(F.col("p").alias("parent"), F.col("c").alias("child")))
+    nodes = e.select(F.explode(F.array("p", "c")).alias("node")).distinct()
+    own = nodes.join(forest.select(F.col("child").alias("node")), "node", "left_anti")
+    # what has no single parent is a root of its own; what a chain of parents leads into a cycle has none
+    below = nodes.join(forest.select(F.col("child").alias("node")), "node", "left_semi").join(tops(forest), "node", "left")
+    place = cut(own.select("node", F.col("node").alias("root"), F.lit(0).alias("depth")).unionByName(below.select("node", "root", F.coalesce("depth", F.lit(0)).alias("depth"))))
     into = cut(e.join(many, "c").join(place.toDF("p", "r", "w"), "p").select("r", "c", (F.col("w") + 1).alias("w")))
     known = cut(place.where("root = node").join(many.toDF("node"), "node", "left_anti").select(F.col("node").alias("r"), F.lit(0).alias("base")))
     while not into.isEmpty():
