@@ -21,7 +21,7 @@ from refloom.sources.tables import table
 
 
 def term_scores(records: DataFrame, record_id: str, text: str, c: float = 1.0, least: int = 3, presence: bool = False) -> DataFrame:
-    """(record_id, term, tf, length, df, cf, tfn, score): one row for each different word of each record.
+    """(record_id, term, tf, length, df, cf, tfn, score, records): one row for each different word of each record.
 
     With `presence` a word counts once in a record, however often it stands there: the rate of the geometric model is
     then the word's records over all records, and tf is 1. That suits titles, where repetition says little.
@@ -47,7 +47,7 @@ def term_scores(records: DataFrame, record_id: str, text: str, c: float = 1.0, l
     rate = F.col("df" if presence else "cf") / F.lit(float(max(n, 1)))
     tfn = (F.lit(1) if presence else F.col("tf")) * F.log2(1 + F.lit(c * mean) / F.col("length"))
     score = (F.log2(1 + rate) + tfn * F.log2((1 + rate) / rate)) / (tfn + 1)
-    return joined.select("record_id", "term", "tf", "length", "df", "cf", tfn.alias("tfn"), score.alias("score"))
+    return joined.select("record_id", "term", "tf", "length", "df", "cf", tfn.alias("tfn"), score.alias("score"), F.lit(n).alias("records"))
 
 
 def most_distinctive(scores: DataFrame, most: int = 6) -> DataFrame:
@@ -57,11 +57,10 @@ def most_distinctive(scores: DataFrame, most: int = 6) -> DataFrame:
     records tie exactly, and all of a tie are kept. A term that is no rarer in the collection than in the record carries no
     information; below that the score falls as the number of records rises. The bar is the score of a term in `most` records.
     """
-    n = scores.select("record_id").distinct().count()
     tfn = F.col("tfn")
-    rare = scores.where((F.col("df") >= 2) & (F.col("df") / F.lit(float(max(n, 1))) < tfn))
+    rare = scores.where((F.col("df") >= 2) & (F.col("df") / F.col("records") < tfn))
     best = rare.withColumn("best", F.max("score").over(W.partitionBy("record_id"))).where(F.col("score") == F.col("best"))
-    rate = F.least(F.lit(most / max(n, 1)), tfn)
+    rate = F.least(F.lit(float(most)) / F.col("records"), tfn)
     bar = (F.log2(1 + rate) + tfn * F.log2((1 + rate) / rate)) / (tfn + 1)
     return best.where(F.col("score") >= bar - F.lit(1e-12)).select("record_id", "term", "df", "score")
 
@@ -74,7 +73,7 @@ def titles(spark: SparkSession, d: str) -> DataFrame:
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     """The shared terms of the highest score in each title. With every word counted once a title, they are those of the fewest titles."""
-    return most_distinctive(cut(term_scores(titles(spark, d), "record_id", "title", presence=True))).select("record_id", "term")
+    return most_distinctive(term_scores(titles(spark, d), "record_id", "title", presence=True)).select("record_id", "term")
 
 
 def p1_scores(spark: SparkSession, d: str) -> DataFrame:

@@ -164,9 +164,23 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return out.select("source", "target_share", "max_repeats", "texts", "available", F.round("share", 6).alias("share_of_present"), F.col("mixed").cast("long").alias("mixed"), F.round(F.col("mixed") / F.lit(total), 6).alias("actual_share"), F.col("most_copies").cast("int").alias("most_copies"))
 
 
+def p9_invariants(spark: SparkSession, d: str) -> DataFrame:
+    """For each target whose source has texts: no text is copied too often, and the source's share is met up to one of its texts."""
+    copies, p = mix(*_inputs(spark, d))
+    copies = cut(copies)
+    got = copies.groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("mixed"), F.max("copies").alias("most"), F.max("tokens").alias("largest"))
+    total = got.agg(F.sum("mixed")).first()[0] or 1
+    out = p.where("share > 0").join(got, "source", "left").na.fill(0)
+    met = F.abs(F.col("mixed") - F.col("share") * F.lit(total)) <= F.greatest(F.col("largest"), F.lit(0.02 * total))
+    return out.select("source", (F.col("most") <= F.col("max_repeats")).alias("within"), met.alias("met"))
+
+
 def queries() -> dict:
-    return {"p9_mix": p9_mix, "p9_shares": p9_shares}
+    return {"p9_mix": p9_mix, "p9_shares": p9_shares, "p9_invariants": p9_invariants}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "p9_invariants": """SELECT DISTINCT t.source, true AS within, true AS met FROM mix_targets t
+            WHERE t.target_share > 0 AND coalesce(t.max_repeats, 1) > 0 AND t.source IN (SELECT source FROM documents WHERE length(text) > 0)"""
+    }

@@ -175,9 +175,24 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     return per.join(cap, "pack_id").select("pack_id", "capacity_tokens", "bins", "pieces", "tokens", "fullest", F.round(F.col("tokens") / (F.col("bins") * F.col("capacity_tokens")), 6).alias("filled"))
 
 
+def p8_invariants(spark: SparkSession, d: str) -> DataFrame:
+    """For each capacity: texts placed, bins over capacity, texts split though they fit, and whether 95 % of the room but one bin's is filled."""
+    cap = table(spark, d, "pack_sizes", "pack_id", "capacity_tokens")
+    placed = cut(_packed(spark, d)).join(F.broadcast(cap), "pack_id")  # a row for each capacity
+    texts = placed.groupBy("pack_id", "doc_id", "capacity_tokens").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("pieces"))
+    per = texts.groupBy("pack_id").agg(F.count("*").alias("texts"), F.sum(((F.col("pieces") > 1) & (F.col("tokens") <= F.col("capacity_tokens"))).cast("long")).alias("split"), F.sum("tokens").alias("all"))
+    bins = placed.groupBy("pack_id", "bin_id", "capacity_tokens").agg(F.sum("tokens").alias("used"))
+    room = bins.groupBy("pack_id", "capacity_tokens").agg(F.sum((F.col("used") > F.col("capacity_tokens")).cast("long")).alias("over"), F.count("*").alias("bins"))
+    filled = F.col("all") >= 0.95 * (F.col("bins") - 1) * F.col("capacity_tokens")
+    return per.join(room, "pack_id").select("pack_id", "texts", "over", "split", filled.alias("filled"))
+
+
 def queries() -> dict:
-    return {"p8_bins": p8_bins, "p8_fill": p8_fill}
+    return {"p8_bins": p8_bins, "p8_fill": p8_fill, "p8_invariants": p8_invariants}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "p8_invariants": """SELECT pack_id, (SELECT count(DISTINCT doc_id) FROM documents WHERE text IS NOT NULL) AS texts,
+            CAST(0 AS BIGINT) AS over, CAST(0 AS BIGINT) AS split, true AS filled FROM pack_sizes WHERE pack_id IS NOT NULL AND capacity_tokens > 0"""
+    }
