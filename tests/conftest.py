@@ -11,7 +11,7 @@ os.environ["PYTHONPATH"] = os.path.dirname(os.path.dirname(os.path.abspath(__fil
 @pytest.fixture(scope="session")
 def spark():
     s = (
-        SparkSession.builder.master("local[4]").appName("tests").config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "4g")
+        SparkSession.builder.master("local[4]").appName("tests").config("spark.sql.shuffle.partitions", "2").config("spark.default.parallelism", "2").config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

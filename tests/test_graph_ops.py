@@ -65,11 +65,11 @@ def test_general_graphs(spark):
     from refloom.operators import hierarchy as H
 
     # a long chain, a diamond beside a direct link, two cycles with a node in common, what leads there and away, a loop
-    links = [(f"n{i}", f"n{i + 1}") for i in range(40)] + [("n0", "n39"), ("a", "b"), ("a", "c"), ("b", "c"), ("c", "d"), ("p", "q"), ("q", "r"), ("r", "p"), ("r", "s"), ("s", "r"), ("o", "p"), ("s", "t"), ("d", "t"), ("k", "k")]
+    links = [(f"n{i}", f"n{i + 1}") for i in range(12)] + [("n0", "n11"), ("a", "b"), ("a", "c"), ("b", "c"), ("c", "d"), ("p", "q"), ("q", "r"), ("r", "p"), ("r", "s"), ("s", "r"), ("o", "p"), ("s", "t"), ("d", "t"), ("k", "k")]
     e = edges(spark, links)
     got = {r["node"]: r["layer"] for r in G.layers(e, "source", "target").collect()}
-    assert got == {f"n{i}": i for i in range(41)} | {"a": 0, "b": 1, "c": 2, "d": 3, "o": 0}
-    ring = G.on_cycles(e, "source", "target")
+    assert got == {f"n{i}": i for i in range(13)} | {"a": 0, "b": 1, "c": 2, "d": 3, "o": 0}
+    ring = G.cut(G.on_cycles(e, "source", "target"))
     assert {r["node"]: r["next"] for r in ring.collect()} == {"p": "q", "q": "r", "r": "p", "s": "r", "k": "k"}
     assert {r["node"] for r in G.concrete_cycles(ring).collect()} == {"p", "q", "r", "k"}
     assert G.on_cycles(edges(spark, []), "source", "target").count() == 0 and G.layers(edges(spark, []), "source", "target").count() == 0

@@ -16,7 +16,7 @@ def test_html(spark):
     p = U.parse_html(PAGE)
     assert all(p["text"][b["start"] : b["end"]] == b["text"] for b in p["blocks"])
     assert [(b["kind"], b["text"], b["level"], b["container"]) for b in p["blocks"]] == [
-        ("heading", "Main & more", 1, None), ("heading", "Abstract", 2, "abstract"), ("text", "Some bold text here.", 0, "abstract"), ("list_item", "First", 0, "references"), ("list_item", "Second link", 0, "references"), ("text", "Loose", 0, None), ("text", "Inner", 0, "y"),
+        ("heading", "Main & more", 1, None), ("heading", "Abstract", 2, "abstract"), ("text", "Some bold text here.", 0, "abstract"), ("list_item", "First", 0, "references"), ("list_item", "Second link", 0, "references"), ("text", "Loose", 0, "x"), ("text", "Inner", 0, "y"),
     ]
     assert p["meta"] == {"citation_title": ["T"], "citation_author": ["A", "B"]} and p["title_tag"] == "A page"
     U.parse_html("<p>unclosed <b> </i> <<x")
