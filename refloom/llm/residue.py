@@ -5,7 +5,7 @@ and text that only speaks of such things. Along a text, the log likelihood ratio
 in windows; where a window exceeds the kind's threshold, a passage begins, which grows as long as windows stay above
 it. A passage stands if its whole ratio suffices and no window around it is better explained by the model of speech
 about residue, whose n-grams count only where no kind of residue explains them. What stands is measured: a record is excluded
-by how much of it the passages of a kind cover.
+by how much of it the passages of a kind cover. Prose is counted on all records: once on all, then on those without passages.
 
 Texts are coded one byte a character in upper bounds of a batch, so a batch is one array and every step is a pass of
 vector arithmetic: the cost is a few dozen instructions a character.
@@ -13,7 +13,7 @@ vector arithmetic: the cost is a few dozen instructions a character.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,7 +32,7 @@ EVIDENCE = 9.0
 SPOKEN = (40, 0.6)
 #: A record is excluded if passages of a kind cover more than this share of it; a mark is residue wherever it stands.
 COVERAGE = {"mark": 0.0, "filler": 0.001, "notice": 0.001}
-#: Prose is fitted on at most so many records of at most so many characters, drawn by a hash of their id.
+#: Bounds of `prose_sample`, which no query uses.
 PROSE_ROWS, PROSE_CHARS = 2_000, 20_000
 _LOWER = bytes(ord(chr(b).lower()) if len(chr(b).lower()) == 1 and ord(chr(b).lower()) < 256 else b for b in range(256)).translate(bytes(48 if 48 <= b <= 57 else 32 if b in (9, 10, 13, 160) else b for b in range(256)))
 
@@ -64,6 +64,14 @@ def counts(texts: list[str]) -> np.ndarray:
     return np.bincount(grams(joined), minlength=1 << BITS).astype(np.float64) if len(joined) >= N else np.zeros(1 << BITS)
 
 
+def tally(texts: list[str]) -> np.ndarray:
+    """How often each n-gram occurs in texts, each of them between blanks, so that sums over any batches are alike."""
+    blank = "\n" * N
+    if not texts:
+        return np.zeros(1 << BITS, dtype=np.int64)
+    return np.bincount(grams(coded(blank + blank.join(texts) + blank[1:])), minlength=1 << BITS)
+
+
 def _ratios(natural: np.ndarray) -> dict[str, np.ndarray]:
     pn = (natural + 0.5) / (natural.sum() + 0.5 * (1 << BITS))
     kinds = {"mark": S.marks(), "filler": S.fillers(), "notice": [t + end for t in (*S.ERRORS, *S.SCRIPTS) for end in ("", "!")], "spoken": list(S.SPOKEN)}
@@ -117,51 +125,83 @@ def passages(code: np.ndarray, model: dict[str, np.ndarray]) -> dict[str, list[t
     return out
 
 
-def detect(records: DataFrame, doc_id: str, text: str, prose: list[str]) -> DataFrame:
+def pieces(ids: Iterable, texts: Iterable[str]) -> Iterator[tuple[list, list[str]]]:
+    """The rows of a batch in runs of at most PIECE characters, which bounds the arrays; a longer text is a run of its own."""
+    some, run, size = [], [], 0
+    for i, t in zip(ids, texts, strict=True):
+        if run and size + len(t) > PIECE:
+            yield some, run
+            some, run, size = [], [], 0
+        some.append(i)
+        run.append(t)
+        size += len(t)
+    if run:
+        yield some, run
+
+
+def judge(texts: list[str], model: dict[str, np.ndarray]) -> dict[tuple[int, str], set[tuple[int, int]]]:
+    """The passages by a text's place in the list and kind."""
+    gap = chr(GAP) * len(_AROUND)
+    code = coded(gap.join(texts))
+    lengths = np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts))
+    starts = np.concatenate([[0], np.cumsum(lengths + len(gap))[:-1]])
+    rows: dict[tuple[int, str], set[tuple[int, int]]] = {}
+    for kind, spans in passages(code, model).items():
+        for a, b in spans:
+            i = int(np.searchsorted(starts, a, side="right")) - 1
+            j = int(np.searchsorted(starts, b - 1, side="right")) - 1
+            for k in range(i, j + 1):
+                x, y = max(a - int(starts[k]), 0), min(b - int(starts[k]), int(lengths[k]))
+                if x < y:
+                    rows.setdefault((k, kind), set()).add((x, y))
+    return rows
+
+
+def tallied(records: DataFrame, text: str, model: dict[str, np.ndarray] | None = None) -> np.ndarray:
+    """`tally` of all texts, with a model of those in which it finds nothing; the driver gets 2 ** BITS rows at most."""
+    shared = records.sparkSession.sparkContext.broadcast(model)
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(1 << BITS, dtype=np.int64)
+        for pdf in parts:
+            for _, texts in pieces(pdf["_text"], pdf["_text"]):
+                if shared.value is not None:
+                    bad = {k for k, _ in judge(texts, shared.value)}
+                    texts = [t for k, t in enumerate(texts) if k not in bad]
+                total += tally(texts)
+        seen = np.flatnonzero(total)
+        yield pd.DataFrame({"gram": seen.astype(np.int32), "n": total[seen]})
+
+    rows = records.select(F.col(text).alias("_text")).where("_text <> ''").mapInPandas(run, "gram int, n long")
+    got = rows.groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(1 << BITS)
+    out[got["gram"].to_numpy()] = got["n"].to_numpy()
+    return out
+
+
+def fit_records(records: DataFrame, text: str) -> dict[str, np.ndarray]:
+    """`fit` on every text of `records`, of any length; a repeated row counts again."""
+    return _ratios(tallied(records, text, _ratios(tallied(records, text))))
+
+
+def detect(records: DataFrame, doc_id: str, text: str, prose: list[str] | None = None) -> DataFrame:
     """(doc_id, kind, passages, covered, coverage) of the records with residue, a row for each kind found.
 
     covered are the characters of the passages, coverage their share. Whole texts are read, of any length; a
     null or empty text has no residue; repeated rows of a record give one row. Texts that are alike are judged alike.
+    The models are fitted on `prose`, without it on all of `records`.
     """
-    spark = records.sparkSession
-    shared = spark.sparkContext.broadcast(fit(prose))
     cols = records.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text")).where("doc_id is not null and _text <> ''")
+    shared = records.sparkSession.sparkContext.broadcast(fit_records(cols, "_text") if prose is None else fit(prose))
     key = cols.schema["doc_id"].dataType.simpleString()
 
-    def pieces(pdf: pd.DataFrame) -> Iterator[tuple[list, list[str]]]:
-        """The rows of a batch in runs of at most PIECE characters, which bounds the arrays; a longer text is a run of its own."""
-        ids, texts, size = [], [], 0
-        for i, t in zip(pdf["doc_id"], pdf["_text"], strict=True):
-            if texts and size + len(t) > PIECE:
-                yield ids, texts
-                ids, texts, size = [], [], 0
-            ids.append(i)
-            texts.append(t)
-            size += len(t)
-        if texts:
-            yield ids, texts
-
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = shared.value
-        gap = chr(GAP) * len(_AROUND)
         for pdf in parts:
             out: list[tuple] = []
-            for ids, texts in pieces(pdf):
-                code = coded(gap.join(texts))
-                lengths = np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts))
-                starts = np.concatenate([[0], np.cumsum(lengths + len(gap))[:-1]])
-                rows: dict[tuple[int, str], set[tuple[int, int]]] = {}
-                for kind, spans in passages(code, model).items():
-                    for a, b in spans:
-                        i = int(np.searchsorted(starts, a, side="right")) - 1
-                        j = int(np.searchsorted(starts, b - 1, side="right")) - 1
-                        for k in range(i, j + 1):
-                            x, y = max(a - int(starts[k]), 0), min(b - int(starts[k]), int(lengths[k]))
-                            if x < y:
-                                rows.setdefault((k, kind), set()).add((x, y))
-                for (k, kind), spans in rows.items():
+            for ids, texts in pieces(pdf["doc_id"], pdf["_text"]):
+                for (k, kind), spans in judge(texts, shared.value).items():
                     covered = sum(y - x for x, y in spans)
-                    out.append((ids[k], kind, len(spans), covered, covered / max(1, int(lengths[k]))))
+                    out.append((ids[k], kind, len(spans), covered, covered / max(1, len(texts[k]))))
             yield pd.DataFrame(out, columns=["doc_id", "kind", "passages", "covered", "coverage"])
 
     found = cols.mapInPandas(run, f"doc_id {key}, kind string, passages int, covered long, coverage double")
@@ -177,7 +217,7 @@ def excluded(found: DataFrame, least: dict[str, float] | None = None) -> DataFra
 
 
 def prose_sample(records: DataFrame, doc_id: str, text: str, rows: int = PROSE_ROWS, chars: int = PROSE_CHARS) -> list[str]:
-    """The bounded sample of prose: at most rows x chars characters.
+    """A bounded sample of prose, at most rows x chars characters, to try models on; the queries count all records.
 
     Rows are drawn by a hash of their id with the share that gives about `rows` of them, so what all tasks together
     send is bounded, however many there are.
@@ -191,7 +231,7 @@ def prose_sample(records: DataFrame, doc_id: str, text: str, rows: int = PROSE_R
 
 def _found(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents", "doc_id", "text")
-    return detect(docs, "doc_id", "text", prose_sample(docs, "doc_id", "text"))
+    return detect(docs, "doc_id", "text")
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:

@@ -64,3 +64,20 @@ def test_codes_keep_offsets():
 def test_empty(spark):
     assert R.detect(spark.createDataFrame([], "doc_id long, text string"), "doc_id", "text", []).count() == 0
     assert R.prose_sample(spark.createDataFrame([], "doc_id long, text string"), "doc_id", "text") == []
+
+
+def test_models_are_fitted_on_all_records(spark, tmp_path):
+    """What long records say in passing is prose; a sample of short ones has none of it."""
+    said = "Please allow JavaScript to read this item."
+    rows = [(i, (NATURAL[i % 4] + " " + said + " ") * 300) for i in range(8)] + [(100 + i, NATURAL[i % 4] * 3) for i in range(200)] + [(900, said), (901, BAD[6]), (902, None), (903, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    assert min(len(t) for i, t in rows if i < 100) > R.PROSE_CHARS
+    assert {r["doc_id"] for r in R.p10_found(spark, str(tmp_path)).collect()} == {901}
+    # counts are whole and alike however the records are parted
+    whole = sum(R.tally([t]) for _, t in rows if t)
+    assert all((R.tallied(df.repartition(n), "text") == whole).all() for n in (1, 7))
+    model = R.fit(PROSE)
+    clean = sum(R.tally([t]) for _, t in rows if t and not any(R.passages(R.coded(t), model).values()))
+    assert (R.tallied(df, "text", model) == clean).all() and clean.sum() < whole.sum()
+    assert R.detect(df.limit(0), "doc_id", "text").count() == 0
