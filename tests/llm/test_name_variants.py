@@ -49,6 +49,19 @@ def test_pet_names_are_learned_from_shared_works(spark):
     assert N.pet_names(crowd).count() == 0
 
 
+def test_pet_names_are_learned_from_crowds_under_several_surnames(spark):
+    """25 given names bear the surname on a work: one such work says nothing, several that hold the same two names do."""
+    towns = [f"kra{a}{b}on" for a in "bdfgkl" for b in "aeiou"]
+    crowd = lambda i: [(g, towns[i], f"w{i}") for g in ("bob", "robert", *(f"x{i}{c}y" for c in "abcdefghijklmnopqrstuvw"))]
+    other = [(f"{a}{b}m", f"{c}{d}lin", None) for a in "bdfgk" for b in "aeiou" for c in "bdfgk" for d in "aeiou"]
+    learn = lambda rows: {r["given"]: r["pets"] for r in N.pet_names(spark.createDataFrame(rows, "given string, surname string, work string")).collect()}
+    rows = [row for i in range(6) for row in crowd(i)] + [("robert", towns[9], None)]
+    assert learn(rows + other) == {"bob": ["robert"], "robert": ["robert"]}
+    assert learn(crowd(0) + other) == {}
+    # a crowd of thousands has its pairs made row by row
+    assert learn([(f"g{i}x", "wang", "w") for i in range(1500)] + rows + other) == {"bob": ["robert"], "robert": ["robert"]}
+
+
 def test_links_and_groups(spark):
     rows = [(1, ["Jana Veldenzor", "J. Veldenzor"], ["w1", "w2", "w3"]), (2, ["Veldenzor Jana"], ["w1"]), (3, ["VELDENZOR, JANA"], ["w9"]), (4, ["Edward Kvarat"], ["w5"]), (5, ["Ekaterina Kvarat"], ["w6"]), (6, None, None), (7, [], []), (8, ["Ve1denzor, J."], ["w2"]), (2, ["Veldenzor Jana"], ["w1"]), (None, ["Jana Veldenzor"], [])]
     df = spark.createDataFrame(rows, "no long, names array<string>, works array<string>").withColumn("form", F.lit(1)).withColumn("given", F.lit(2))
